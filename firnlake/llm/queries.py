@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
+from .pii import count_kind, find_pii, spans_text
 from .quality_rules import quality_rules
 
 
@@ -15,8 +17,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failure_rate", "host_verdict")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_pii(read_table(spark, sf_dir, "documents"))
+    counts = [count_kind("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return out.select("doc_id", *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules,)}
+    return {f.__name__: f for f in (op2_pii, op5_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
