@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontam import verdicts
+from .mixing import mix
 from .pii import count_kind, find_pii, spans_text
 from .quality_rules import quality_rules
+from .simple8b import token_ids
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +26,23 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_times")).alias("taken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op5_quality_rules)}
+    return {f.__name__: f for f in (op2_pii, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
