@@ -13,6 +13,11 @@ from .mixing import mix
 from .pii import count_kind, find_pii, spans_text
 from .quality_rules import quality_rules
 from .simple8b import token_ids
+from .toxicity import toxicity
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
+    return {f.__name__: f for f in (op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
