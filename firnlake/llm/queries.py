@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .decontam import verdicts
 from .mixing import mix
+from .ngram_join import jaccard_components
 from .pii import count_kind, find_pii, spans_text
 from .quality_rules import quality_rules
 from .simple8b import token_ids
@@ -25,6 +26,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failure_rate", "host_verdict")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_pii(read_table(spark, sf_dir, "documents"))
     counts = [count_kind("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
@@ -47,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
