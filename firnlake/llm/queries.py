@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontam import verdicts
+from .kn_quality import quality
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .pii import count_kind, find_pii, spans_text
@@ -46,13 +47,17 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_times")).alias("taken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op9_quality_classifier, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
