@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .brown_lm import brown_scores
 from .common import read_table
 from .decontam import verdicts
 from .kn_quality import quality
@@ -37,6 +38,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
 
 
+def op6_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -57,7 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op7_decontamination, op8_token_ids, op9_quality_classifier, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op6_brown_lm, op7_decontamination, op8_token_ids, op9_quality_classifier, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -113,12 +114,27 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+class _Made(dict):
+    """A dictionary that makes what it misses, and is emptied by shrink() beyond its size bound."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int) -> None:
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+    def shrink(self) -> None:
+        if len(self) > self.limit:
+            self.clear()
+
+
 class WordEncoder:
     """The ids that Tokenizer.encode gives a text, put together from the ids of its space-parted words.
 
     The tokenizer parts at white space, so a word's ids do not depend on its neighbours. They are kept in dictionaries
-    that are emptied at their size bound. A new word of plain Latin letters is normalised and parted here by the
-    tokenizer's own published rules and given to the tokenizer's model; any other goes through Tokenizer.encode.
+    of bounded size. A new word of plain Latin letters is normalised and parted here by the tokenizer's own published
+    rules and given to the tokenizer's model; any other, and a text that holds a special token, goes through Tokenizer.encode.
     """
 
     def __init__(self, path: str, limit: int = 500_000) -> None:
@@ -136,36 +152,29 @@ class WordEncoder:
         self.plain = regex.compile("[!-~¡-¬®-ſ]+").fullmatch
         self.parted = any(x.get("type") in ("Split", "Whitespace", "WhitespaceSplit") for x in [*steps, rules.get("pre_tokenizer") or {}])
         self.specials = [x["content"] for x in rules.get("added_tokens", [])]
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-        rest = [b for b in range(256) if b not in set(shown)]
-        self.table = {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.model, self.words, self.pieces, self.limit = self.tok.model, {}, {}, limit
+        shown = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b}
+        self.table = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+        self.words, self.pieces = _Made(self.word, limit), _Made(self.piece, limit)
+        self.tokenize = self.tok.model.tokenize
+
+    def piece(self, p: str) -> bytes:
+        shown = p if p.isascii() else p.encode().decode("latin-1").translate(self.table)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def word(self, w: str) -> bytes:
-        if not self.quick or not self.plain(w) or any(s in w for s in self.specials):
-            return np.array(self.tok.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        out = []
-        for p in self.parts(w.lower()):
-            ids = self.pieces.get(p)
-            if ids is None:
-                shown = p if p.isascii() else p.encode().decode("latin-1").translate(self.table)
-                ids = self.pieces[p] = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
-
-    def __call__(self, text: str) -> np.ndarray:
-        if not self.parted:
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        if len(self.words) > self.limit or len(self.pieces) > self.limit:
-            self.words.clear()
-            self.pieces.clear()
-        known, out = self.words, []
-        for w in text.replace("\n", " ").split(" "):
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self.word(w)
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype="<u4")
+        if not self.quick or not self.plain(w):
+            return array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
+        if w.isalpha():
+            return self.pieces[w.lower()]
+        return b"".join([self.pieces[p] for p in self.parts(w.lower())])
+
+    def __call__(self, text: str) -> bytes:
+        """The ids as native unsigned 32-bit integers."""
+        if not self.parted or any(s in text for s in self.specials):
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        self.words.shrink()
+        self.pieces.shrink()
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 BLOCKS = "part int, start long, n_ids long, doc_ids array<long>, block binary"
@@ -182,7 +191,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, block
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part, end = _encoder(tokenizer), TaskContext.get().partitionId(), array("I", [end_id]).tobytes()
         start, names, held, size = 0, [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -190,7 +199,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, block
 
         for b in batches:
             for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = np.append(encoder(text.as_py()), np.uint32(end_id))
+                ids = np.frombuffer(encoder(text.as_py()) + end, dtype=np.uint32)
                 names.append(name)
                 held.append(ids)
                 size += len(ids)
