@@ -36,6 +36,21 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
+    """df, marked for broadcast if it has at most so many (narrow) rows; any larger one is joined by a shuffle. Counts df: give a materialised one."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with every column but the used ones renamed out of the way, and the names to give back by restored()."""
+    names = {c: c if c in used else f"_own_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), {v: k for k, v in names.items()}
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*(F.col(v).alias(k) for v, k in names.items()))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

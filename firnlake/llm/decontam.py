@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, restored, shielded, small
 
 SPAN, AROUND = 12, 6
 #: Positions that each mask looks at.
@@ -82,5 +82,6 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, share: float = 0.75) -> Data
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = 0.75) -> DataFrame:
     """docs without the contaminated documents; a null doc_id's documents are judged together."""
-    ids = materialize(find_contaminated(docs, benchmark, share).select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    ids = small(materialize(find_contaminated(docs, benchmark, share).select(F.col("doc_id").alias("_id")).distinct(), "contaminated"))
+    own, names = shielded(docs, ("doc_id",))
+    return restored(own.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti"), names)

@@ -21,8 +21,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import WordHasher, fold, materialize, mix64
+from .common import WordHasher, fold, materialize, mix64, restored, shielded, small
 from .lookup import Table
 
 START, END = np.uint64(0x5EED), np.uint64(0xE0D)
@@ -139,33 +140,34 @@ def train(rows: DataFrame) -> Model | None:
     return Model(Table(key_of(h(u), h(v), h(w)), s3.astype(f)), Table(key_of(h(cu), h(cv)), g2.astype(f)), Table(key_of(h(bv), h(bw)), s2.astype(f)), Table(mix64(h(c1)), g1.astype(f)), Table(mix64(h(w1)), p1), unknown)
 
 
-def perplexities(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    """keep's columns, n_tokens (words) and log_ppl (mean negative log10 probability of words and end; null without words)."""
+def perplexities(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with n_tokens (words) and log_ppl (mean negative log10 probability of words and end; null without words)."""
     import pyarrow as pa
 
     held = docs.sparkSession.sparkContext.broadcast(model)  # as large as max_rows texts make it
+    names, text = docs.columns, docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, m = WordHasher(), held.value
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                seqs = [sequence_of(hasher, t.as_py()) for t in part.column(len(keep))]
+                seqs = [sequence_of(hasher, t.as_py()) for t in part.column(text)]
                 sizes = np.array([len(s) - 2 for s in seqs])
                 u, v, w = (np.concatenate([s[i : len(s) - 2 + i] for s in seqs]) for i in range(3))
                 sums = np.add.reduceat(m.log10(u, v, w), np.cumsum(sizes) - sizes)
                 value = pa.array(-sums / sizes, pa.float64(), mask=sizes == 1)
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(sizes - 1, pa.int64()), value], [*keep, "n_tokens", "log_ppl"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes - 1, pa.int64()), value], [*names, "n_tokens", "log_ppl"])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(score, f"{schema}, n_tokens long, log_ppl double")
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("log_ppl", T.DoubleType())]))
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, upper: float, lower: float, slack: float, min_docs: int, min_tokens: int) -> tuple[DataFrame, tuple[float, float]]:
-    """low and high by language, and those of all languages together."""
+def thresholds(docs: DataFrame, labels: DataFrame, model: Model, upper: float, lower: float, slack: float, min_docs: int, min_tokens: int) -> tuple[DataFrame, tuple[float, float]]:
+    """low and high by language, and those of all languages together, from all reserved trusted documents."""
     own = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q"))
-    own = own.filter((F.col("q") == 1) & (fold(F.col("_id"), 5) == 0))
-    held = scored.filter(F.col("log_ppl").isNotNull() & (F.col("n_tokens") >= min_tokens)).join(own, F.col("doc_id") == F.col("_id"), "left_semi")
+    own = materialize(own.filter((F.col("q") == 1) & (fold(F.col("_id"), 5) == 0)).select("_id"), "reserved")
+    held = docs.select("doc_id", "lang", "text").filter(fold(F.col("doc_id"), 5) == 0).join(small(own), F.col("doc_id") == F.col("_id"), "left_semi")
+    held = perplexities(held, model).filter(F.col("log_ppl").isNotNull() & (F.col("n_tokens") >= min_tokens))
     held = materialize(held.select("lang", "log_ppl"), "reserved")
     cuts = F.percentile_approx("log_ppl", F.lit([lower, 0.5, upper]), F.lit(10_000)).alias("q")
 
@@ -177,16 +179,21 @@ def thresholds(scored: DataFrame, labels: DataFrame, upper: float, lower: float,
     return by.select("_lang", *moved(F.col("q"))), (all_["low"], all_["high"]) if all_ and all_["low"] is not None else (-1.0, 1e9)
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    """keep's columns, n_tokens, log_ppl, low, high and kept of every document. keep holds doc_id and lang at least."""
+def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
+    """docs with n_tokens, log_ppl, low, high and kept; columns of these names must be shielded."""
     model = train(materialize(trusted_rows(docs, labels, max_rows), "trusted"))
     if model is None:
         blank = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")), F.lit(0)) == 0
         none = F.lit(None).cast("double")
-        return docs.select(*keep, F.lit(0).cast("long").alias("n_tokens"), none.alias("log_ppl"), none.alias("low"), none.alias("high"), (~blank).alias("kept"))
-    scored = materialize(perplexities(docs, model, keep), "perplexity")
-    by, (low, high) = thresholds(scored, labels, upper, lower, slack, min_docs, min_tokens)
-    out = scored.join(materialize(by, "thresholds"), F.col("lang") == F.col("_lang"), "left").drop("_lang")
+        return docs.select("*", F.lit(0).cast("long").alias("n_tokens"), none.alias("log_ppl"), none.alias("low"), none.alias("high"), (~blank).alias("kept"))
+    by, (low, high) = thresholds(docs, labels, model, upper, lower, slack, min_docs, min_tokens)
+    out = perplexities(docs, model).join(small(materialize(by, "thresholds"), 100_000), F.col("lang") == F.col("_lang"), "left").drop("_lang")
     out = out.withColumn("low", F.coalesce("low", F.lit(low))).withColumn("high", F.coalesce("high", F.lit(high)))
     kept = F.when(F.col("log_ppl").isNull(), False).when(F.col("n_tokens") < min_tokens, True).otherwise(F.col("log_ppl").between(F.col("low"), F.col("high")))
     return out.withColumn("kept", kept)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without the rejected documents."""
+    own, names = shielded(docs, ("doc_id", "text", "lang"))
+    return restored(quality(own, labels).filter("kept"), names)

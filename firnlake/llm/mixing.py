@@ -6,9 +6,9 @@ every length, then a bounded-knapsack dynamic program over what that leaves. Whi
 follows from a seeded hash of doc_id, so reruns agree.
 
 Defined cases: a null or blank text has size 0 and is taken 0 words. A null source is a source of its own, last in the
-order. Rows that repeat a doc_id are separate documents; equal ones are told apart only by their rank. A source without
-words has target 0. An empty table gives an empty result. Columns of the input are kept as they are; those that are
-added start with mix_.
+order. Rows that repeat a doc_id in one length of a source are taken together, so such a source may exceed its budget by them. A source without
+words has target 0. An empty table gives an empty result. Other columns are kept; those added start with mix_, and
+repeat_documents() keeps columns of any name.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, materialize
+from .common import WORD_RE, materialize, restored, shielded, small
 
 #: Buckets of the seeded hash within one length of one source: ranks are counted within buckets, so no length is ranked by one task.
 BUCKETS = 256
@@ -103,28 +103,46 @@ def word_count() -> Column:
     return F.coalesce(F.regexp_count("text", F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, seed: int = 17, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep's columns with mix_size, mix_source_size, mix_target and mix_times (how often the mix takes the document)."""
-    d = docs.select(*keep, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), word_count().alias("_size"), F.xxhash64(F.lit(seed), F.col("doc_id")).alias("_h"))
-    d = d.withColumn("_bucket", F.shiftrightunsigned("_h", 64 - (BUCKETS - 1).bit_length()).cast("int"))
-    d = materialize(d, "sized")
-    sized = d.select(F.col("_source").alias("source"), F.col("_size").alias("size"))
+def cuts(sized: DataFrame, lengths: DataFrame) -> DataFrame:
+    """lengths with cut_h and cut_id: the hash and id of the extra-th document of the length; null if extra is 0.
+
+    sized has source, size, h and doc_id. A document's rank in its length is the number of documents in the buckets before
+    its own and its place there.
+    """
+    group = ["source", "size"]
+    d = sized.withColumn("bucket", F.shiftrightunsigned("h", 64 - (BUCKETS - 1).bit_length()).cast("int"))
+    before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    full = d.groupBy(*group, "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    wanted = lengths.filter("extra > 0").select(F.col("source").alias("_s"), F.col("size").alias("_z"), "extra")
+    full = full.join(small(wanted), F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))).filter("before < extra AND extra <= before + n")
+    full = materialize(full.select(F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("bucket").alias("_b"), (F.col("extra") - F.col("before")).alias("place")), "buckets")
+    last = d.join(small(full), F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("bucket") == F.col("_b")))
+    unsigned = F.shiftrightunsigned("h", 1)  # the order of buckets is that of unsigned hashes
+    last = last.withColumn("rank", F.row_number().over(Window.partitionBy(*group, "bucket").orderBy(unsigned, "h", "doc_id"))).filter("rank = place")
+    last = last.select(F.col("source").alias("_s"), F.col("size").alias("_z"), unsigned.alias("cut_u"), F.col("h").alias("cut_h"), F.col("doc_id").alias("cut_id"))
+    return lengths.join(last, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left").drop("_s", "_z")
+
+
+def mix(docs: DataFrame, seed: int = 17, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """docs with mix_size, mix_source_size, mix_target and mix_times (how often the mix takes the document).
+
+    The plan has a row for each length of each source and is joined to the documents, so their texts are not shuffled while it is small.
+    """
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    sized = materialize(docs.select("doc_id", "source", word_count().alias("size"), h.alias("h")), "sized")
     lengths = materialize(plan(sized, weights, cap), "plan")
-    # the rank of a document within its length: those in the buckets before, and its place in its bucket
-    group = [F.col("_source"), F.col("_size")]
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    full = d.groupBy(*group, "_bucket").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    full = full.join(lengths, full["_source"].eqNullSafe(lengths["source"]) & (full["_size"] == lengths["size"])).withColumn("_open", F.col("extra") - F.col("_before"))
-    full = full.select(*(F.col(c).alias(f"p{c}") for c in ("_source", "_size", "_bucket")), "source_size", "target", "passes", "_open")
-    ranked = d.withColumn("_rank", F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy("_h", "_id")))
-    out = ranked.join(full, F.col("_source").eqNullSafe(F.col("p_source")) & (F.col("_size") == F.col("p_size")) & (F.col("_bucket") == F.col("p_bucket")))
-    times = F.col("passes") + F.when(F.col("_rank") <= F.col("_open"), 1).otherwise(0)
-    return out.select(*keep, F.col("_size").alias("mix_size"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), times.cast("int").alias("mix_times"))
+    found = small(materialize(cuts(sized, lengths).select(*(F.col(c).alias(f"_plan_{c}") for c in ("source", "size", "source_size", "target", "passes", "cut_u", "cut_h", "cut_id"))), "cuts"), 500_000)
+    out = docs.withColumn("mix_size", word_count()).withColumn("_plan_h", h)
+    out = out.join(found, F.col("source").eqNullSafe(F.col("_plan_source")) & (F.col("mix_size") == F.col("_plan_size")), "left")
+    u, cu, ch, ci = F.shiftrightunsigned("_plan_h", 1), F.col("_plan_cut_u"), F.col("_plan_cut_h"), F.col("_plan_cut_id")
+    after_id = F.when(F.col("doc_id").isNull(), False).when(ci.isNull(), True).otherwise(F.col("doc_id") > ci)  # nulls come first
+    after = (u > cu) | ((u == cu) & ((F.col("_plan_h") > ch) | ((F.col("_plan_h") == ch) & after_id)))
+    times = F.col("_plan_passes") + F.when(cu.isNotNull() & ~after, 1).otherwise(0)
+    return out.select(*docs.columns, "mix_size", F.col("_plan_source_size").alias("mix_source_size"), F.col("_plan_target").alias("mix_target"), times.cast("int").alias("mix_times"))
 
 
 def repeat_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mixture itself: docs' columns, each document as often as the mix takes it. A document without words is not taken."""
-    kept = tuple(docs.columns)
-    mixed = mix(docs, seed, keep=kept).withColumn("_n", F.when(F.col("mix_size") > 0, F.col("mix_times")).otherwise(0))
-    return mixed.filter("_n > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*kept)
-
+    own, names = shielded(docs, ("doc_id", "text", "source"))
+    mixed = mix(own, seed).withColumn("_times", F.when(F.col("mix_size") > 0, F.col("mix_times")).otherwise(0))
+    return restored(mixed.filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))), names)

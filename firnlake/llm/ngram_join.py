@@ -28,14 +28,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, materialize, mix64, words_of
+from .common import WordHasher, materialize, mix64, restored, shielded, small, words_of
 from .components import components
 
 GROUPS, LEAF = 16, 32
 #: Frequent shingles that are broadcast at most, and rows of a bucket's block from which it is parted.
 MAX_FREQUENT, BLOCK_ROWS = 200_000, 50_000
-#: Ids up to this many are broadcast to pick texts for verification; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
 
 
 class Shingler:
@@ -283,8 +281,7 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
     import pyarrow as pa
 
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    texts = docs.select("doc_id", "text").join(small(ids), F.col("doc_id") == F.col("_id"), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(k)
@@ -333,10 +330,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component: that of the least doc_id, its first text if it repeats. Null doc_ids all stay."""
-    found = jaccard_components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == F.col("_id"), "left_semi")
-    names = [c for c in docs.columns if c != "doc_id"]
-    kept = kept.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *(F.col(c) for c in names if c != "text"))).alias("_row")).select("doc_id", "_row.*").select(*docs.columns)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
-
+    """docs with one document of each component: that of the least doc_id, its least row if that repeats. Null doc_ids all stay."""
+    found = jaccard_components(docs, k, percent).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
+    found = materialize(found, "kept")
+    own, names = shielded(docs, ("doc_id", "text"))
+    kept = own.join(small(found), F.col("doc_id") == F.col("_id"))
+    once, often = kept.filter("_n = 1").drop("_id", "_n"), kept.filter("_n > 1").drop("_id", "_n")
+    least = often.groupBy("doc_id").agg(F.min(F.struct("text", *(c for c in names if c not in ("doc_id", "text")))).alias("_row")).select("doc_id", "_row.*")
+    return restored(once.unionByName(least).unionByName(own.filter("doc_id IS NULL")), names)

@@ -11,6 +11,7 @@ from .brown_lm import brown_scores
 from .common import read_table
 from .decontam import verdicts
 from .kn_quality import quality
+from .licenses import license_scan
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .pii import count_kind, find_pii, spans_text
@@ -19,6 +20,13 @@ from .simple8b import token_ids
 from .toxicity import toxicity
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files source/lang/doc_id.txt."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("_")), F.lit(".txt")))
+    docs = read_table(spark, sf_dir, "documents").withColumn("path", path)
+    return license_scan(docs, keep=("doc_id",))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -53,16 +61,16 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return quality(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), read_table(spark, sf_dir, "labels")).drop("text")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(read_table(spark, sf_dir, "documents"))
+    out = mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_times")).alias("taken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op4_toxicity, op5_quality_rules, op6_brown_lm, op7_decontamination, op8_token_ids, op9_quality_classifier, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_pii, op3_licenses, op4_toxicity, op5_quality_rules, op6_brown_lm, op7_decontamination, op8_token_ids, op9_quality_classifier, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
