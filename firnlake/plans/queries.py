@@ -1,15 +1,529 @@
-"""Queries over lake tables and the SQL that they are held against."""
+"""Queries over lake tables, and the SQL that they are held against: each builds a lake of its own from the given tables."""
 
 from __future__ import annotations
 
+import tempfile
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..lake import Lake
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+class Bench:
+    """A new lake for one query: its catalog in a folder of the driver, its files in the shared folder if there is one."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, inline_limit: int = 0) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        self.dir = tempfile.mkdtemp(prefix="firnlake-")
+        data = f"{shared.rstrip('/')}/firnlake-{uuid.uuid4().hex}" if shared else f"{self.dir}/data"
+        self.shared = data + "-more"
+        self.lake = Lake(spark, f"{self.dir}/catalog.db", data, inline_limit=inline_limit)
+
+    def source(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def load(self, name: str, partition_by: list[str] | None = None) -> Lake:
+        self.lake.create_from(self.source(name), name, partition_by)
+        return self.lake
+
+    def batches(self, name: str, key: str, n: int) -> Lake:
+        """n appends, by key % n."""
+        df = self.source(name)
+        self.lake.create_table(name, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+        for i in range(n):
+            self.lake.append(df.filter(F.col(key) % n == i), name)
+        return self.lake
+
+
+def query(sql: str | None, inline_limit: int = 0) -> Callable:
+    def register(f: Callable[[Bench], DataFrame]) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(Bench(spark, sf_dir, inline_limit))
+
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+@query("SELECT * FROM nation")
+def scan_full(b: Bench) -> DataFrame:
+    return b.load("nation").read("nation")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def scan_projection(b: Bench) -> DataFrame:
+    return b.load("orders").read("orders").select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
+def scan_by_name(b: Bench) -> DataFrame:
+    return b.load("nation").sql("SELECT n_nationkey, n_name FROM lake.main.nation WHERE n_regionkey = 2")
+
+
+@query("SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
+def filter_eq(b: Bench) -> DataFrame:
+    return b.load("customer").read("customer", where="c_mktsegment = 'BUILDING'")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 45 AND l_discount < 0.03")
+def filter_range(b: Bench) -> DataFrame:
+    return b.load("lineitem").read("lineitem", where="l_quantity >= 45 AND l_discount < 0.03D").select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (1, 7, 42, 99, 100000000)")
+def filter_in(b: Bench) -> DataFrame:
+    df, lake = b.source("orders"), b.lake
+    lake.create_table("orders", T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    top = df.agg(F.max("o_orderkey")).first()[0] + 1
+    for i in range(4):
+        lake.append(df.filter(f"o_orderkey >= {top * i // 4} AND o_orderkey < {top * (i + 1) // 4}"), "orders")
+    return lake.read("orders", where="o_orderkey IN (1, 7, 42, 99, 100000000)").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0")
+def filter_null(b: Bench) -> DataFrame:
+    b.lake.create_from(b.source("orders").withColumn("o_totalprice", F.expr("CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END")), "orders")
+    return b.lake.read("orders", where="o_totalprice IS NULL").select("o_orderkey")
+
+
+@query("SELECT p_partkey FROM part WHERE (p_size < 10 OR p_size > 40) AND NOT (p_brand = 'Brand#1')")
+def filter_and_or_not(b: Bench) -> DataFrame:
+    return b.load("part").read("part", where="(p_size < 10 OR p_size > 40) AND NOT (p_brand = 'Brand#1')").select("p_partkey")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'blue%'")
+def filter_prefix(b: Bench) -> DataFrame:
+    return b.load("part").read("part", where="p_name LIKE 'blue%'").select("p_partkey", "p_name")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_name LIKE '%1' OR c_name LIKE '%00%'")
+def filter_suffix_contains(b: Bench) -> DataFrame:
+    return b.load("customer").read("customer", where="c_name LIKE '%1' OR c_name LIKE '%00%'").select("c_custkey")
+
+
+@query("SELECT n_nationkey FROM nation WHERE n_regionkey IS NOT DISTINCT FROM 3")
+def filter_null_safe_eq(b: Bench) -> DataFrame:
+    return b.load("nation").read("nation", where="n_regionkey <=> 3").select("n_nationkey")
+
+
+@query("SELECT COUNT(*) AS n FROM lineitem")
+def count_star_metadata(b: Bench) -> DataFrame:
+    return b.load("lineitem").sql("SELECT COUNT(*) AS n FROM lineitem")
+
+
+@query("SELECT COUNT(*) AS n FROM orders WHERE NOT (o_orderkey % 7 = 0)")
+def count_star_after_delete(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    lake.delete("orders", "o_orderkey % 7 = 0")
+    return lake.count_frame("orders")
+
+
+@query("SELECT * FROM orders")
+def append_batches(b: Bench) -> DataFrame:
+    return b.batches("orders", "o_orderkey", 3).read("orders")
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def overwrite(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    lake.overwrite(b.source("orders").filter("o_orderstatus = 'F'"), "orders")
+    return lake.read("orders")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'R'")
+def partitioned_write_prune(b: Bench) -> DataFrame:
+    return b.load("lineitem", ["l_returnflag"]).read("lineitem", where="l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@query("SELECT DISTINCT l_returnflag AS partition_value FROM lineitem")
+def partition_values(b: Bench) -> DataFrame:
+    return b.load("lineitem", ["l_returnflag"]).partition_values("lineitem").select("partition_value").distinct()
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey BETWEEN 9 AND 12")
+def partition_int_range(b: Bench) -> DataFrame:
+    return b.load("customer", ["c_nationkey"]).read("customer", where="c_nationkey BETWEEN 9 AND 12").select("c_custkey", "c_nationkey")
+
+
+@query("SELECT * FROM orders WHERE o_orderkey % 3 = 0")
+def time_travel_version(b: Bench) -> DataFrame:
+    lake = b.batches("orders", "o_orderkey", 3)
+    return lake.read("orders", version=lake.version - 2)
+
+
+@query("SELECT * FROM orders WHERE o_orderkey % 3 IN (0, 1)")
+def time_travel_timestamp(b: Bench) -> DataFrame:
+    lake = b.batches("orders", "o_orderkey", 3)
+    return lake.read("orders", timestamp=lake.snapshot(lake.version - 1).snapshot_time)
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0")
+def time_travel_sql(b: Bench) -> DataFrame:
+    lake = b.batches("nation", "n_nationkey", 2)
+    return lake.sql(f"SELECT n_nationkey, n_name FROM nation VERSION AS OF {lake.version - 1}")
+
+
+@query("SELECT r_regionkey, r_name FROM region")
+def time_travel_schema(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    before = lake.version
+    lake.ddl.add_column("region", "extra", "INTEGER", 7)
+    return lake.read("region", version=before)
+
+
+@query("SELECT * FROM orders WHERE NOT (o_totalprice > 100000)")
+def delete_where(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    lake.sql("DELETE FROM orders WHERE o_totalprice > 100000")
+    return lake.read("orders")
+
+
+@query("SELECT * FROM orders WHERE o_orderkey % 5 NOT IN (0, 1, 2)")
+def delete_repeated(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    for i in range(3):
+        lake.delete("orders", f"o_orderkey % 5 = {i}")
+    return lake.read("orders")
+
+
+@query("SELECT * FROM orders")
+def delete_then_append(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    lake.delete("orders", "o_orderkey % 4 = 1")
+    lake.append(b.source("orders").filter("o_orderkey % 4 = 1"), "orders")
+    return lake.read("orders")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def update_literal(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    lake.update("orders", {"o_orderstatus": "X"}, "o_orderkey % 4 = 0")
+    return lake.read("orders").select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_nationkey = 3 THEN 0.0 ELSE c_acctbal END AS c_acctbal FROM customer")
+def update_multi_null(b: Bench) -> DataFrame:
+    lake = b.load("customer")
+    lake.update("customer", {"c_mktsegment": None, "c_acctbal": 0.0}, "c_nationkey = 3")
+    return lake.read("customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal FROM supplier")
+def update_sql_expression(b: Bench) -> DataFrame:
+    lake = b.load("supplier")
+    lake.sql("UPDATE lake.main.supplier SET s_acctbal = s_acctbal + 1 WHERE s_nationkey < 5")
+    return lake.read("supplier").select("s_suppkey", "s_acctbal")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 0 THEN s_acctbal * 2 ELSE s_acctbal END AS s_acctbal FROM supplier UNION ALL SELECT s_suppkey + 1000000 AS s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 10 = 0")
+def merge_upsert(b: Bench) -> DataFrame:
+    lake, s = b.load("supplier"), b.source("supplier").filter("s_suppkey % 10 = 0")
+    new = s.withColumn("s_acctbal", F.col("s_acctbal") * 2).unionByName(s.withColumn("s_suppkey", F.col("s_suppkey") + 1000000))
+    lake.merge("supplier").using(new).on("target.s_suppkey = source.s_suppkey").when_matched().update_all().when_not_matched().insert_all().execute()
+    return lake.read("supplier").select("s_suppkey", "s_acctbal")
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 1 UNION ALL SELECT s_suppkey + 1000000 AS s_suppkey FROM supplier WHERE s_suppkey % 2 = 0")
+def merge_delete_insert(b: Bench) -> DataFrame:
+    lake, s = b.load("supplier"), b.source("supplier").filter("s_suppkey % 2 = 0")
+    new = s.unionByName(s.withColumn("s_suppkey", F.col("s_suppkey") + 1000000))
+    lake.merge("supplier").using(new).on("target.s_suppkey = source.s_suppkey").when_matched().delete().when_not_matched().insert_all().execute()
+    return lake.read("supplier").select("s_suppkey")
+
+
+@query("SELECT s_suppkey, 0.0 AS s_acctbal FROM supplier WHERE s_suppkey % 2 = 0 AND s_acctbal > 0 UNION ALL SELECT s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 2 = 1")
+def merge_conditional(b: Bench) -> DataFrame:
+    lake, s = b.load("supplier"), b.source("supplier").filter("s_suppkey % 2 = 0").select("s_suppkey", F.col("s_acctbal").alias("v"))
+    lake.merge("supplier").using(s).on("target.s_suppkey = source.s_suppkey").when_matched("source.v > 0").update({"s_acctbal": "0.0D"}).when_matched().delete().execute()
+    return lake.read("supplier").select("s_suppkey", "s_acctbal")
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def merge_insert_only(b: Bench) -> DataFrame:
+    df, lake = b.source("nation"), b.lake
+    lake.create_from(df.filter("n_nationkey < 10"), "nation")
+    lake.merge("nation").using(df).on("target.n_nationkey = source.n_nationkey").when_not_matched().insert({c: f"source.{c}" for c in df.columns}).execute()
+    return lake.read("nation").select("n_nationkey", "n_name")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'renamed' ELSE s_name END AS s_name, s_acctbal FROM supplier")
+def merge_partial_columns(b: Bench) -> DataFrame:
+    lake, s = b.load("supplier"), b.source("supplier").filter("s_suppkey % 3 = 0").select("s_suppkey", F.lit("renamed").alias("s_name"))
+    lake.merge("supplier").using(s).on("target.s_suppkey = source.s_suppkey").when_matched().update_all().execute()
+    return lake.read("supplier").select("s_suppkey", "s_name", "s_acctbal")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'even' ELSE s_name END AS s_name FROM supplier WHERE s_suppkey % 5 <> 1")
+def merge_sql(b: Bench) -> DataFrame:
+    lake = b.load("supplier")
+    lake.create_from(b.source("supplier").filter("s_suppkey % 2 = 0 OR s_suppkey % 5 = 1"), "news")
+    lake.sql("MERGE INTO supplier AS t USING lake.main.news AS n ON t.s_suppkey = n.s_suppkey WHEN MATCHED AND n.s_suppkey % 5 = 1 THEN DELETE WHEN MATCHED THEN UPDATE SET s_name = 'even' WHEN NOT MATCHED THEN INSERT *")
+    return lake.read("supplier").select("s_suppkey", "s_name")
+
+
+@query("SELECT o_orderkey, 'insert' AS _change_type FROM orders")
+def cdc_inserts(b: Bench) -> DataFrame:
+    lake = b.batches("orders", "o_orderkey", 2)
+    return lake.changes("orders", lake.version - 2, lake.version).select("o_orderkey", "_change_type")
+
+
+@query("SELECT n_nationkey, n_name, 'delete' AS _change_type FROM nation WHERE n_regionkey = 1 UNION ALL SELECT n_nationkey, 'Z' AS n_name, 'insert' AS _change_type FROM nation WHERE n_regionkey = 1")
+def cdc_update(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    before = lake.version
+    lake.update("nation", {"n_name": "Z"}, "n_regionkey = 1")
+    return lake.changes("nation", before).select("n_nationkey", "n_name", "_change_type")
+
+
+@query("SELECT o_orderkey, 'delete' AS _change_type FROM orders WHERE o_orderkey % 11 = 0")
+def cdc_delete(b: Bench) -> DataFrame:
+    lake = b.load("orders")
+    before = lake.version
+    lake.delete("orders", "o_orderkey % 11 = 0")
+    return lake.changes("orders", before).select("o_orderkey", "_change_type")
+
+
+@query("SELECT r_regionkey, 'delete' AS _change_type FROM region UNION ALL SELECT r_regionkey, 'insert' AS _change_type FROM region WHERE r_regionkey < 3")
+def cdc_overwrite(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    before = lake.version
+    lake.overwrite(b.source("region").filter("r_regionkey < 3"), "region")
+    return lake.changes("region", before).select("r_regionkey", "_change_type")
+
+
+@query("SELECT r_regionkey, r_name, CAST(42 AS INTEGER) AS extra FROM region")
+def add_column_default(b: Bench) -> DataFrame:
+    lake, df = b.lake, b.source("region")
+    lake.create_from(df.filter("r_regionkey < 2"), "region")
+    lake.ddl.add_column("region", "extra", "INTEGER", 42)
+    lake.append(df.filter("r_regionkey >= 2").withColumn("extra", F.lit(42)), "region")
+    return lake.read("region")
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def drop_column(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.sql("ALTER TABLE lake.main.nation DROP COLUMN n_regionkey")
+    return lake.read("nation")
+
+
+@query("SELECT n_nationkey, n_name AS full_name, n_regionkey FROM nation")
+def rename_column(b: Bench) -> DataFrame:
+    lake, df = b.lake, b.source("nation")
+    lake.create_from(df.filter("n_nationkey < 12"), "nation")
+    lake.sql("ALTER TABLE nation RENAME COLUMN n_name TO full_name")
+    lake.append(df.filter("n_nationkey >= 12").withColumnRenamed("n_name", "full_name"), "nation")
+    return lake.read("nation")
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation")
+def widen_column(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.ddl.alter_column_type("nation", "n_nationkey", "BIGINT")
+    return lake.read("nation").select("n_nationkey", "n_name")
+
+
+@query("SELECT n_nationkey, CAST(NULL AS DOUBLE) AS n_name FROM nation")
+def drop_readd_column(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.ddl.drop_column("nation", "n_name")
+    lake.ddl.add_column("nation", "n_name", "DOUBLE")
+    return lake.read("nation").select("n_nationkey", "n_name")
+
+
+@query("SELECT n_nationkey, n_name AS nm FROM nation WHERE NOT (n_name LIKE 'NATION_1%')")
+def rename_then_delete(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.ddl.rename_column("nation", "n_name", "nm")
+    lake.delete("nation", "nm LIKE 'NATION_1%'")
+    return lake.read("nation").select("n_nationkey", "nm")
+
+
+@query("SELECT * FROM orders WHERE NOT (o_orderkey % 9 = 0)")
+def compaction(b: Bench) -> DataFrame:
+    lake = b.batches("orders", "o_orderkey", 8)
+    lake.delete("orders", "o_orderkey % 9 = 0")
+    lake.rewrite_data_files("orders")
+    return lake.read("orders")
+
+
+@query("SELECT CAST(1 AS BIGINT) AS active_files")
+def compaction_file_count(b: Bench) -> DataFrame:
+    lake = b.batches("customer", "c_custkey", 4)
+    lake.rewrite_data_files("customer")
+    return lake.files("customer").agg(F.count("*").alias("active_files"))
+
+
+@query("SELECT CAST(1 AS BIGINT) AS snapshots")
+def expire_snapshots(b: Bench) -> DataFrame:
+    lake = b.batches("region", "r_regionkey", 3)
+    time.sleep(0.01)
+    lake.expire_snapshots(0)
+    return lake.snapshots().agg(F.count("*").alias("snapshots"))
+
+
+@query("SELECT * FROM customer WHERE NOT (c_custkey % 6 = 0)")
+def vacuum(b: Bench) -> DataFrame:
+    lake = b.batches("customer", "c_custkey", 2)
+    lake.delete("customer", "c_custkey % 6 = 0")
+    lake.rewrite_data_files("customer")
+    time.sleep(0.01)
+    lake.expire_snapshots(0)
+    lake.vacuum()
+    return lake.read("customer")
+
+
+def _existing(b: Bench) -> Lake:
+    df = b.source("part")
+    b.lake.create_table("part", T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    b.lake.add_files("part", [f"{b.sf_dir}/part.parquet"])
+    return b.lake
+
+
+@query("SELECT * FROM part")
+def add_files(b: Bench) -> DataFrame:
+    return _existing(b).read("part")
+
+
+@query("SELECT * FROM part WHERE NOT (p_size = 5)")
+def add_files_delete(b: Bench) -> DataFrame:
+    lake = _existing(b)
+    lake.delete("part", "p_size = 5")
+    return lake.read("part")
+
+
+@query("SELECT * FROM region", inline_limit=100)
+def inline_rows(b: Bench) -> DataFrame:
+    return b.batches("region", "r_regionkey", 5).read("region")
+
+
+@query("SELECT * FROM nation", inline_limit=10)
+def inline_plus_files(b: Bench) -> DataFrame:
+    df, lake = b.source("nation"), b.lake
+    lake.create_from(df.filter("n_nationkey < 4"), "nation")
+    lake.append(df.filter("n_nationkey >= 4"), "nation")
+    return lake.read("nation")
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey = 2 THEN 'two' ELSE n_name END AS n_name FROM nation WHERE n_nationkey <> 1", inline_limit=100)
+def inline_update_delete(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.delete("nation", "n_nationkey = 1")
+    lake.update("nation", {"n_name": "two"}, "n_nationkey = 2")
+    return lake.read("nation").select("n_nationkey", "n_name")
+
+
+@query("SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, label FROM embeddings")
+def nested_roundtrip(b: Bench) -> DataFrame:
+    return b.load("embeddings").read("embeddings").select("vec_id", F.size("embedding").alias("dim"), "label")
+
+
+@query("SELECT MIN(o_orderkey) AS min_value, MAX(o_orderkey) AS max_value, CAST(COUNT(*) - COUNT(o_orderkey) AS BIGINT) AS null_count FROM orders")
+def column_stats(b: Bench) -> DataFrame:
+    stats = b.batches("orders", "o_orderkey", 3).column_stats("orders").filter("column_name = 'o_orderkey'")
+    return stats.agg(F.min(F.col("min_value").cast("long")).alias("min_value"), F.max(F.col("max_value").cast("long")).alias("max_value"), F.sum("null_count").alias("null_count"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def streaming_append(b: Bench) -> DataFrame:
+    df = b.source("events")
+    b.lake.create_table("events", T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    df.repartition(3).write.parquet(f"{b.shared}/in")
+    stream = b.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{b.shared}/in")
+    b.lake.write_stream(stream, "events", f"{b.shared}/checkpoint", availableNow=True).awaitTermination()
+    return b.lake.read("events").select("event_id", "user_id", "event_type")
+
+
+@query("SELECT event_id, event_type FROM events")
+def streaming_read(b: Bench) -> DataFrame:
+    lake = b.batches("events", "event_id", 2)
+    out = f"{b.shared}/out"
+    lake.read_stream("events").select("event_id", "event_type").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{b.shared}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return b.spark.read.parquet(out)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0")
+def view_read(b: Bench) -> DataFrame:
+    lake = b.load("customer")
+    lake.sql("CREATE VIEW rich AS SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0")
+    return lake.sql("SELECT * FROM lake.main.rich")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def sort_limit(b: Bench) -> DataFrame:
+    return b.load("orders").sql("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+
+
+@query("SELECT MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, CAST(SUM(o_orderkey) AS BIGINT) AS s FROM orders")
+def agg_min_max_sum(b: Bench) -> DataFrame:
+    return b.load("orders").sql("SELECT MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, SUM(o_orderkey) AS s FROM orders")
+
+
+@query("SELECT l_returnflag, l_linestatus, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem GROUP BY l_returnflag, l_linestatus")
+def agg_group_by(b: Bench) -> DataFrame:
+    return b.load("lineitem", ["l_returnflag"]).sql("SELECT l_returnflag, l_linestatus, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem GROUP BY l_returnflag, l_linestatus")
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_lake_tables(b: Bench) -> DataFrame:
+    b.load("nation")
+    return b.load("region").sql("SELECT n.n_name, r.r_name FROM lake.main.nation n JOIN lake.main.region r ON n.n_regionkey = r.r_regionkey")
+
+
+@query("SELECT r_name, COUNT(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name HAVING COUNT(*) > 1 UNION ALL SELECT 'all', COUNT(*) FROM nation")
+def cte_union_having(b: Bench) -> DataFrame:
+    b.load("nation")
+    return b.load("region").sql("WITH x AS (SELECT r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey) SELECT r_name, COUNT(*) AS n FROM x GROUP BY r_name HAVING COUNT(*) > 1 UNION ALL SELECT 'all', COUNT(*) FROM nation")
+
+
+@query("SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders")
+def window_rank(b: Bench) -> DataFrame:
+    return b.load("orders").sql("SELECT o_custkey, o_orderkey, CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS rn FROM orders")
+
+
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey >= 5 UNION ALL SELECT 100 AS id, 'new' AS name")
+def sql_lifecycle(b: Bench) -> DataFrame:
+    b.load("nation")
+    for statement in (
+        "CREATE NAMESPACE IF NOT EXISTS lake.other",
+        "CREATE TABLE IF NOT EXISTS lake.other.t (id INT NOT NULL, name STRING) PARTITIONED BY (id)",
+        "INSERT INTO lake.other.t SELECT n_nationkey, n_name FROM nation",
+        "DELETE FROM lake.other.t WHERE id < 5",
+        "INSERT INTO lake.other.t VALUES (100, 'new')",
+    ):
+        b.lake.sql(statement)
+    return b.lake.sql("SELECT id, name FROM lake.other.t")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends, a delete, a merge and a compaction, then orders by status before and after them."""
+    b = Bench(spark, sf_dir)
+    lake = b.batches("orders", "o_orderkey", 3)
+    loaded = lake.version
+    lake.delete("orders", "o_totalprice > 400000")
+    some = b.source("orders").filter("o_orderkey % 10 = 0")
+    news = some.withColumn("o_orderstatus", F.lit("X")).unionByName(some.withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000))
+    lake.merge("orders").using(news).on("target.o_orderkey = source.o_orderkey").when_matched().update_all().when_not_matched().insert_all().execute()
+    lake.rewrite_data_files("orders")
+    both = lake.read("orders", version=loaded).withColumn("state", F.lit("loaded")).unionByName(lake.read("orders").withColumn("state", F.lit("now")))
+    return both.groupBy("state", "o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")).orderBy("state", "o_orderstatus")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
