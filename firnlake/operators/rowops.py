@@ -159,14 +159,14 @@ class Merge:
                 return None
             target = self.ops.scanner.read(self.table, positions=True)
             both = target.alias("target").join(source.alias("source"), F.expr(self.condition)).withColumn("_clause", self._first(on_match))
-            kinds = F.element_at(F.array(*(F.lit(c.action) for c in on_match)), F.col("_clause") + 1) if on_match else F.lit(None).cast("string")
-            both = keep(both.select(FILE, POS, "_source_row", "_clause", kinds.alias("_kind"), *self._values(on_match, names, True)))
+            updates = [i for i, c in enumerate(on_match) if c.action.startswith("update")]
+            both = keep(both.select(FILE, POS, "_source_row", "_clause", *self._values(on_match, names, True)))
             twice = both.groupBy(FILE, POS).count().filter("count > 1").limit(1).collect()
             if twice:
                 raise MergeError("a target row matches more than one source row")
             columns = [F.col(f"`{c.name}`") for c in self.table.columns]
             gone = both.filter("_clause IS NOT NULL").select(FILE, POS)
-            new = both.filter("_kind LIKE 'update%'").select(*columns)
+            new = both.filter(F.col("_clause").isin(updates)).select(*columns)
             if on_miss:
                 missed = source.join(both.select("_source_row"), "_source_row", "left_anti").alias("source").withColumn("_clause", self._first(on_miss))
                 new = new.unionByName(missed.filter("_clause IS NOT NULL").select(*self._values(on_miss, names, False)))
