@@ -35,14 +35,8 @@ END = np.uint64(0xE0D << 5)
 class ShapeHasher(WordHasher):
     """64-bit hashes of words with the word's shape in the lowest five bits."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        plain = self.digest
-
-        def digest(w: bytes) -> int:
-            return plain(w) & ~31 | min(len(w), 15) // 4 * 8 + w[-1] % 8
-
-        self.digest = digest
+    def hash_of(self, word: bytes) -> int:
+        return self.digest(word) & ~31 | min(len(word), 15) // 4 * 8 + word[-1] % 8
 
 
 def token_hashes(hasher: ShapeHasher, text: str | None) -> np.ndarray:

@@ -85,23 +85,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHasher:
-    """64-bit hashes of words through a dictionary that is emptied when it reaches its size bound."""
+class WordHasher(dict):
+    """64-bit hashes of words, as the eight bytes kept by word; emptied when it reaches its size bound."""
 
     def __init__(self, limit: int = 400_000) -> None:
         import xxhash
 
-        self.known: dict[bytes, int] = {}
         self.limit, self.digest = limit, xxhash.xxh3_64_intdigest
 
+    def hash_of(self, word: bytes) -> int:
+        return self.digest(word)
+
+    def __missing__(self, word: bytes) -> bytes:
+        value = self[word] = self.hash_of(word).to_bytes(8, "little")
+        return value
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, digest = self.known, self.digest
-        if len(known) > self.limit:
-            known.clear()
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = digest(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+        if len(self) > self.limit:
+            self.clear()
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u8")
