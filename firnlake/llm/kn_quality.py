@@ -179,7 +179,7 @@ def thresholds(docs: DataFrame, labels: DataFrame, model: Model, upper: float, l
     return by.select("_lang", *moved(F.col("q"))), (all_["low"], all_["high"]) if all_ and all_["low"] is not None else (-1.0, 1e9)
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 1_000, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
     """docs with n_tokens, log_ppl, low, high and kept; columns of these names must be shielded."""
     model = train(materialize(trusted_rows(docs, labels, max_rows), "trusted"))
     if model is None:

@@ -13,7 +13,7 @@ class Table:
         self.keys, self.values = keys[order], [v[order] for v in values]
         bits = max(1, len(keys).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int64)
+        self.starts = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
         self.most = int(np.diff(self.starts).max(initial=0))
 
     def find(self, q: np.ndarray) -> np.ndarray:
@@ -22,7 +22,7 @@ class Table:
         if not len(self.keys) or not len(q):
             return out
         shard = (q >> self.shift).astype(np.int64)
-        at, end, open_ = self.starts[shard], self.starts[shard + 1], np.arange(len(q))
+        at, end, open_ = self.starts[shard].astype(np.int64), self.starts[shard + 1], np.arange(len(q))
         for _ in range(self.most):
             live = at < end
             at, end, open_ = at[live], end[live], open_[live]
