@@ -4,7 +4,7 @@ Tokens are runs of letters and digits in lower case. Each of three fixed masks l
 ignores the other 4; together they ignore every position once, so a window with any one substitution, or with several at
 distances of three, still hits. Hashes of benchmark windows are joined with those of the documents' windows. A hit is
 verified along its diagonal: of the 24 aligned positions around it (fewer at the borders of the item or the text) at
-least 75 % must be equal. Items of fewer than 12 tokens are looked for whole and unchanged.
+least 75 % must be equal. A seed that an item holds several times counts at its first place. Items of fewer than 12 tokens are looked for whole and unchanged.
 
 Defined cases: null and empty texts have no tokens and are clean; so is everything if the benchmark is empty. Repeated rows are answered each.
 Columns besides doc_id and text (item_id and text) are ignored by find_contaminated. A document that shares fewer than 12
@@ -34,13 +34,14 @@ def _hash(mask: int, positions: tuple[int, ...], at: str) -> str:
 
 
 def _windows(df: DataFrame, short: list[int]) -> DataFrame:
-    """A row (at, h) for each window and mask of column th; short: lengths of whole short items."""
-    spaced = ", ".join(_hash(k, m, "at") for k, m in enumerate(MASKS))
-    rows = df.withColumn("at", F.explode(F.expr(f"CASE WHEN size(th) >= {SPAN} THEN sequence(0, size(th) - {SPAN}) END"))).withColumn("h", F.explode(F.expr(f"array({spaced})")))
-    for n in short:
-        own = df.withColumn("at", F.explode(F.expr(f"CASE WHEN size(th) >= {n} THEN sequence(0, size(th) - {n}) END")))
-        rows = rows.unionByName(own.withColumn("h", F.expr(_hash(100 + n, tuple(range(n)), "at"))))
-    return rows
+    """A row (at, h) for each place and mask of column th, and for each length in short; h is null where the window does not fit.
+
+    All in one pipeline up to the join with the seeds, as rows that carry whole texts must not be buffered between operators.
+    """
+    masks = [(k, m, SPAN) for k, m in enumerate(MASKS)] + [(100 + n, tuple(range(n)), n) for n in short]
+    hashes = ", ".join(f"CASE WHEN at + {n} <= size(th) THEN {_hash(k, m, 'at')} END" for k, m, n in masks)
+    places = df.withColumn("at", F.explode(F.expr("CASE WHEN size(th) > 0 THEN sequence(0, size(th) - 1) END")))
+    return places.withColumn("h", F.explode(F.expr(f"array({hashes})")))
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75) -> DataFrame:
@@ -52,10 +53,12 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75
     b = materialize(b.groupBy("th").agg(F.min("item_id").alias("item_id")), "benchmark")
     # distinct lengths below SPAN: at most SPAN - 1 rows
     short = sorted(r[0] for r in b.filter(f"size(th) < {SPAN}").select(F.size("th")).distinct().collect())
-    seeds = _windows(b.filter(f"size(th) >= {SPAN}"), []).select("item_id", "at", "h")
+    seeds = _windows(b.filter(f"size(th) >= {SPAN}"), []).filter("h IS NOT NULL").select("item_id", "at", "h")
     for n in short:
         own = b.filter(f"size(th) = {n}").withColumn("at", F.lit(0)).withColumn("h", F.expr(_hash(100 + n, tuple(range(n)), "at")))
         seeds = seeds.unionByName(own.select("item_id", "at", "h"))
+    # a seed that repeats in an item is aligned by its first place, so that repetitive texts meet in linear numbers
+    seeds = seeds.groupBy("item_id", "h").agg(F.min("at").alias("at"))
     seeds = materialize(seeds, "seeds").select(F.col("h").alias("bh"), F.col("at").alias("b_at"), "item_id")
     items = b.select(F.col("item_id").alias("_item"), F.col("th").alias("bt"))
     if seeds.count() <= BROADCAST_ROWS:
@@ -66,7 +69,9 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75
     first = f"greatest(0, b_at - at, b_at - {AROUND})"
     last = f"least(size(bt), size(th) + b_at - at, b_at + {SPAN + AROUND}) - 1"
     hits = hits.withColumn("aligned", F.expr(f"{last} - {first} + 1"))
-    hits = hits.withColumn("matched", F.expr(f"aggregate(sequence({first}, {last}), 0, (a, j) -> a + CASE WHEN bt[j] = th[j + at - b_at] THEN 1 ELSE 0 END)"))
+    # one term for each position that may be aligned, null beyond a border: no row with whole texts is ever built
+    same = " + ".join(f"CASE WHEN get(bt, b_at + ({k})) = get(th, at + ({k})) THEN 1 ELSE 0 END" for k in range(-AROUND, SPAN + AROUND))
+    hits = hits.withColumn("matched", F.expr(same))
     hits = hits.filter((F.col("matched") >= F.lit(share) * F.col("aligned")))
     return hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.max(F.col("matched") / F.col("aligned")).alias("best_share"), F.max("matched").cast("int").alias("matched"))
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .brown_lm import brown_scores
 from .common import read_table
 from .decontam import verdicts
@@ -33,7 +34,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failure_rate", "host_verdict")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_verdict")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,8 @@ def op6_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    out = verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_join": oracle.NGRAM_JOIN, "op5_quality_rules": oracle.QUALITY_RULES, "op7_decontamination": oracle.DECONTAMINATION}
