@@ -5,12 +5,13 @@ document's point. The overlap of two sets is at most the sum of the coordinate m
 of the minima with the largest coordinates below it. Pairs that survive this bound are verified on their exact sets.
 
 Plan, each step linear in the input but for the pairs that survive:
-1. Frequent shingles are counted over all documents; at most MAX_FREQUENT of them are broadcast. They only set an order.
-2. Documents are ranged by their least shingle (ties of any number are spread over tasks) and each is verified against
-   the recent leaders of its run. This labels copies: a label is a document that all its members link to.
-3. Two sets that link share one of their first n - ceil(t n) + 1 shingles in any common order; frequent shingles come last
-   in it. Documents meet in the buckets of these shingles; buckets of frequent ones are dealt to a triangle of blocks. In
-   a bucket an R-tree over the points finds pairs of different labels that survive the bound.
+1. Frequent shingles and words are counted over all documents; at most MAX_FREQUENT of each are broadcast. They only set an
+   order: shingles with a rare word first, frequent shingles last.
+2. Texts meet by their least shingle (those of a frequent one are dealt to several tasks) and each is verified against
+   recent ones of its run. This labels copies: all documents of a label are joined by links.
+3. Two sets that link share one of their first n - ceil(t n) + 1 shingles in any common order. Documents meet in the buckets of these shingles; buckets of frequent ones are dealt to a triangle of blocks. In
+   a bucket an R-tree over the points finds pairs of different labels that survive the bound. They are held to the bound
+   once more on finer points, with a group for every FINE shingles.
 4. Of the pairs between two labels one is verified first; labels that it links are joined. Then all pairs that are still
    between different labels are verified. Links are closed to components.
 
@@ -23,6 +24,7 @@ besides doc_id and text are ignored. Sets hold 64-bit hashes of shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -30,10 +32,17 @@ from pyspark.sql import functions as F
 
 from .common import WordHasher, materialize, mix64, restored, shielded, small, words_of
 from .components import components
+from .lookup import Table
 
-GROUPS, LEAF = 16, 32
+GROUPS, LEAF = 64, 32
+#: Shingles for each group of a finer point, and buckets up to this many rows that are paired without a tree.
+FINE, FLAT = 8, 64
 #: Frequent shingles that are broadcast at most, and rows of a bucket's block from which it is parted.
 MAX_FREQUENT, BLOCK_ROWS = 200_000, 50_000
+#: Documents of one frequent least shingle that a task is dealt, about; and recent ones of a run that a document is verified against.
+DEALT, RECENT = 500, 64
+#: Pairs that a task hands on at once.
+PAIRS = 1 << 18
 
 
 class Shingler:
@@ -44,25 +53,63 @@ class Shingler:
         self.odd = mix64(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return self.with_words(text)[0]
+
+    def with_words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The set, each shingle's first place in the text, and the hashes of the words."""
         w = self.hasher(words_of(text))
         n = len(w)
         if not n:
-            return w
+            return w, np.empty(0, dtype=np.int64), w
         if n < self.k:
-            return mix64(np.array([(w * self.odd[:n]).sum(dtype=np.uint64) + np.uint64(n)], dtype=np.uint64))
+            return mix64(np.array([(w * self.odd[:n]).sum(dtype=np.uint64) + np.uint64(n)], dtype=np.uint64)), np.zeros(1, dtype=np.int64), w
         h = np.zeros(n - self.k + 1, dtype=np.uint64)
         for j in range(self.k):
             h += w[j : n - self.k + 1 + j] * self.odd[j]
-        return np.unique(mix64(h))
+        s, first = np.unique(mix64(h), return_index=True)
+        return s, first, w
+
+
+def order_of(s: np.ndarray, first: np.ndarray, w: np.ndarray, k: int, frequent: np.ndarray, words: Table) -> np.ndarray:
+    """Where a text's shingles come in the common order: frequent ones last, else by the count of the rarest word (powers of two), then by hash."""
+    count = words.get(w)
+    rare = np.minimum.reduce([count[np.minimum(first + j, len(w) - 1)] for j in range(min(k, len(w)))])
+    order = s >> np.uint64(7) | np.log2(rare + 1).astype(np.uint64) << np.uint64(57)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        order |= (frequent[at] == s).astype(np.uint64) << np.uint64(63)
+    return order
 
 
 def point(s: np.ndarray) -> tuple[np.ndarray, int]:
-    """Counts by group as bytes and the power of two that they are divided by (rounded up)."""
+    """Counts by group as halves of bytes, and the power of two that they are divided by (rounded up)."""
     c = np.bincount((s >> np.uint64(7) & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-    shift = max(0, int(c.max()).bit_length() - 8)
-    while int(c.max()) + (1 << shift) - 1 >> shift > 255:
+    shift = 0
+    while int(c.max()) + (1 << shift) - 1 >> shift > 15:
         shift += 1
-    return ((c + (1 << shift) - 1) >> shift).astype(np.uint8), shift
+    c = (c + (1 << shift) - 1) >> shift
+    return (c[::2] | c[1::2] << 4).astype(np.uint8), shift
+
+
+def widened(points: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Rows of point()'s bytes as counts."""
+    return np.stack([points & 15, points >> 4], axis=2).reshape(len(points), GROUPS).astype(np.int32) << shift.astype(np.int32)[:, None]
+
+
+def fine_point(s: np.ndarray) -> bytes:
+    """Counts (16 bits, at most 65535) by as many groups as the least power of two that is n / FINE or more."""
+    groups = 1 << max(4, (len(s) // FINE).bit_length())
+    c = np.bincount((s >> np.uint64(7) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(c, 65535).astype("<u2").tobytes()
+
+
+def fine_survives(na: int, pa: bytes, nb: int, pb: bytes, percent: int) -> bool:
+    """The bound on two finer points, the longer one folded to the other's groups."""
+    a, b = (np.frombuffer(p, dtype="<u2").astype(np.int64) for p in ((pa, pb) if len(pa) <= len(pb) else (pb, pa)))
+    if a.max() == 65535 or b.max() == 65535:  # counts may have been cut
+        return True
+    bound = int(np.minimum(a, b.reshape(-1, len(a)).sum(0)).sum())
+    return (100 + percent) * bound >= percent * (na + nb)
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -78,23 +125,19 @@ def survives(na: np.ndarray, pa: np.ndarray, nb: np.ndarray, pb: np.ndarray, per
     lo, hi = np.minimum.outer(na, nb), np.maximum.outer(na, nb)
     ok = 100 * lo >= percent * hi
     if ok.any():
-        bound = np.zeros(ok.shape, dtype=np.int64)
-        for g in range(GROUPS):
-            bound += np.minimum.outer(pa[:, g], pb[:, g])
-        ok &= (100 + percent) * bound >= percent * (lo + hi)
+        i, j = np.nonzero(ok)
+        bound = np.minimum(pa[i], pb[j]).sum(1, dtype=np.int64)
+        ok[i, j] = (100 + percent) * bound >= percent * (lo + hi)[i, j]
     return ok
 
 
-def tree_pairs(n: np.ndarray, pts: np.ndarray, label: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of one bucket with different labels that survive the bound.
+def tree_pairs(n: np.ndarray, pts: np.ndarray, label: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one bucket with different labels that survive the bound, leaf by leaf.
 
     Points are packed into leaves by label (of large labels) and size. A leaf's box is its largest coordinates and its
     range of sizes; leaves are paired by the bound on their boxes, then their points.
     """
     m = len(n)
-    if m <= 2 * LEAF:
-        i, j = np.nonzero(np.triu(survives(n, pts, n, pts, percent) & (label[:, None] != label[None, :]), 1))
-        return i, j
     _, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
     large = np.where(counts[inverse] >= LEAF // 2, inverse, -1)
     order = np.lexsort((n, large))
@@ -102,101 +145,192 @@ def tree_pairs(n: np.ndarray, pts: np.ndarray, label: np.ndarray, percent: int)
     on, op, ol = n[order], pts[order], label[order]
     box, lo, hi = (f.reduceat(x, starts, axis=0) for f, x in ((np.maximum, op), (np.minimum, on), (np.maximum, on)))
     pure_lo, pure_hi = np.minimum.reduceat(ol, starts), np.maximum.reduceat(ol, starts)
-    out_i, out_j = [], []
     for a in range(len(starts)):
         # the least overlap of two sizes grows with either, and so is least at the leaves' smallest sizes
         ok = (100 * hi[a:] >= percent * lo[a]) & (100 * hi[a] >= percent * lo[a:])
         ok &= ~((pure_lo[a] == pure_hi[a]) & (pure_lo[a:] == pure_hi[a:]) & (pure_lo[a:] == pure_lo[a]))
         near = np.flatnonzero(ok) + a
-        bound = np.minimum(box[a], box[near]).sum(1)
+        bound = np.minimum(box[a], box[near]).sum(1, dtype=np.int64)
         near = near[(100 + percent) * bound >= percent * (lo[a] + lo[near])]
-        if not len(near):
-            continue
         rows = np.arange(starts[a], min(m, starts[a] + LEAF))
-        cols = (starts[near][:, None] + np.arange(LEAF)).ravel()
-        cols = cols[cols < m]
-        i, j = np.nonzero(survives(on[rows], op[rows], on[cols], op[cols], percent) & (ol[rows][:, None] != ol[cols][None, :]) & (rows[:, None] < cols[None, :]))
-        out_i.append(order[rows[i]])
-        out_j.append(order[cols[j]])
-    none = np.empty(0, dtype=np.int64)
-    return np.concatenate([none, *out_i]), np.concatenate([none, *out_j])
-
-
-def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and document counts of shingles that batches of documents show to be frequent: at most MAX_FREQUENT."""
+        for at in range(0, len(near), 64):
+            cols = (starts[near[at : at + 64]][:, None] + np.arange(LEAF)).ravel()
+            cols = cols[cols < m]
+            i, j = np.nonzero((ol[rows][:, None] != ol[cols][None, :]) & (rows[:, None] < cols[None, :]))
+            i, j = rows[i], cols[j]
+            ok = (100 * np.minimum(on[i], on[j]) >= percent * np.maximum(on[i], on[j])) & ((100 + percent) * np.minimum(op[i], op[j]).sum(1, dtype=np.int64) >= percent * (on[i] + on[j]))
+            yield order[i[ok]], order[j[ok]]
+
+
+def wide_points(cols: list[np.ndarray], rows: slice | np.ndarray) -> np.ndarray:
+    """Points of rows of (key, doc, label, size, p0 to p3), where size is 256 n + shift."""
+    return widened(np.stack([c[rows] for c in cols[4:8]], axis=1).view(np.uint8), cols[3][rows] & 255)
+
+
+def flat_pairs(starts: np.ndarray, ends: np.ndarray, cols: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of small buckets, many buckets at once, with different labels that survive the bound."""
+    lengths = ends - starts
+    for size in np.unique(lengths):  # buckets of one size share the places of their pairs
+        a, b = np.triu_indices(int(size), 1)
+        own, step = starts[lengths == size], max(1, PAIRS // len(a))
+        for at in range(0, len(own), step):
+            i, j = ((own[at : at + step, None] + x).ravel() for x in (a, b))
+            ni, nj = cols[3][i] >> 8, cols[3][j] >> 8
+            ok = (cols[2][i] != cols[2][j]) & (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj))
+            i, j, need = i[ok], j[ok], (percent * (ni + nj))[ok]
+            ok = (100 + percent) * np.minimum(wide_points(cols, i), wide_points(cols, j)).sum(1, dtype=np.int64) >= need
+            yield i[ok], j[ok]
+
+
+def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, Table]:
+    """Hashes (sorted) and document counts of shingles that batches of documents show to be frequent, and a table of the counts
+    of words that are: at most MAX_FREQUENT of each."""
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(k)
         for b in batches:
-            sets = [shingle(t.as_py()) for t in b.column(0)]
-            if sets:
-                h, c = np.unique(np.concatenate(sets), return_counts=True)
-                much = c >= max(4, len(sets) // 250)
-                yield pa.RecordBatch.from_arrays([pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["h", "c"])
-
-    counts = docs.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 100")
-    rows = counts.orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).toPandas()
-    h = rows["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    return h[order], rows["c"].to_numpy(np.int64)[order]
-
-
-def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, leaders: int = 16) -> DataFrame:
-    """Step 2: doc_id, n, label, and for the first of each set in its run its prefix (bytes of 64-bit shingles), point and shift."""
+            found = [shingle.with_words(t.as_py()) for t in b.column(0)]
+            for kind, which, least in ((0, 0, max(4, len(found) // 250)), (1, 2, 4)):
+                if found:
+                    h, c = np.unique(np.concatenate([f[which] for f in found]), return_counts=True)
+                    much = c >= least
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(much.sum(), kind, dtype=np.int32)), pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["kind", "h", "c"])
+
+    counts = docs.select("text").mapInArrow(count, "kind int, h long, c long").groupBy("kind", "h").agg(F.sum("c").alias("c"))
+    counts = materialize(counts.filter("c >= 100 OR kind = 1"), "frequent")
+    out = []
+    for kind in (0, 1):
+        t = counts.filter(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).select("h", "c").toArrow()
+        h, c = t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()
+        order = np.argsort(h)
+        out.append((h[order], c[order]))
+    return *out[0], Table(*out[1])
+
+
+def label_run(found: list[tuple[int, np.ndarray]], percent: int) -> tuple[list[int], list[bool]]:
+    """A label for each document (id, set) of a run, and whether its set is the first of its kind there.
+
+    Each set is verified against the RECENT ones before it whose points survive the bound; links join labels.
+    """
+    import xxhash
+
+    root: list[int] = list(range(len(found)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    seen: dict[bytes, int] = {}
+    window, sizes, pts = np.zeros(RECENT, dtype=np.int64), np.zeros(RECENT, dtype=np.int64), np.zeros((RECENT, GROUPS), dtype=np.int32)
+    first, used = [], 0
+    for x, (_, s) in enumerate(found):
+        own = xxhash.xxh3_128_digest(s.tobytes())
+        first.append(own not in seen)
+        if not first[-1]:
+            root[x] = top(seen[own])
+            continue
+        seen[own], n = x, len(s)
+        p, shift = point(s)
+        wide = widened(p[None], np.array([shift]))[0]
+        k = min(used, RECENT)
+        if k:
+            near = (100 * np.minimum(sizes[:k], n) >= percent * np.maximum(sizes[:k], n)) & ((100 + percent) * np.minimum(pts[:k], wide).sum(1, dtype=np.int64) >= percent * (sizes[:k] + n))
+            for y in window[:k][near].tolist():
+                if top(x) != top(y) and links(s, found[y][1], percent):
+                    root[top(x)] = top(y)
+        at = used % RECENT
+        window[at], sizes[at], pts[at] = x, n, wide
+        used += 1
+    return [found[top(x)][0] for x in range(len(found))], first
+
+
+def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts: np.ndarray, words: Table) -> DataFrame:
+    """Step 2: doc_id, n, label, and for the first of each set in its run its prefix (bytes of 64-bit shingles), point, shift and fine."""
     import pyarrow as pa
 
+    spark = docs.sparkSession
+    parts, common = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.broadcast((frequent, counts, words))  # of bounded size
+
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(k)
+        shingle, (frequent, counts, _) = Shingler(k), common.value
         for b in batches:
-            sets = [shingle(t.as_py()) for t in b.column(1)]
-            first = pa.array([int(s[0] >> np.uint64(1)) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), first, pa.array([len(s) for s in sets], pa.int32())], ["doc_id", "text", "first", "n"])
-
-    keyed = docs.select("doc_id", "text").mapInArrow(least, "doc_id long, text string, first long, n int")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keyed.repartitionByRange(parts, "first", "n", "doc_id").sortWithinPartitions("first", "n", "doc_id")
+            found = [shingle(t.as_py()) for t in b.column(1)]
+            first = np.array([s[0] if len(s) else 0 for s in found], dtype=np.uint64)
+            deal = first.copy()
+            if len(frequent):  # a frequent least shingle has a task for every DEALT of its documents
+                spot = np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)
+                tasks = np.where(frequent[spot] == first, counts[spot] // DEALT + 1, 1).astype(np.uint64)
+                ids = np.array([x or 0 for x in b.column(0).to_pylist()], dtype=np.int64).view(np.uint64)
+                deal += mix64(ids) % tasks
+            empty = np.array([not len(s) for s in found], dtype=bool)
+            deal[empty] = np.flatnonzero(empty).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(first.view(np.int64)), pa.array(mix64(deal).view(np.int64)), pa.array([len(s) for s in found], pa.int32())], ["doc_id", "text", "first", "deal", "n"])
+
+    keyed = docs.select("doc_id", "text").mapInArrow(least, "doc_id long, text string, first long, deal long, n int")
+    dealt = keyed.repartition(parts, "deal").sortWithinPartitions("first", "n", "doc_id").select("doc_id", "text", "first")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        shingle, run, recent, seen = Shingler(k), None, [], {}
-        for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, text, first in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                s = shingle(text.as_py())
-                row = [doc, len(s), doc, None, None, None]
-                if doc is not None and len(s):
-                    if first != run or len(seen) > 200_000:
-                        run, recent, seen = first, [] if first != run else recent, {}
-                    own = xxhash.xxh3_128_digest(s.tobytes())
-                    if own in seen:
-                        row[2] = seen[own]
-                    else:
-                        p, shift = point(s)
-                        wide = p.astype(np.int64) << shift
-                        for i, (name, other, size, at) in enumerate(recent):
-                            bound = int(np.minimum(wide, at).sum())
-                            if (100 + percent) * bound >= percent * (len(s) + size) and links(s, other, percent):
-                                row[2] = name
-                                recent.insert(0, recent.pop(i))
-                                break
-                        else:
-                            recent.insert(0, (doc, s, len(s), wide))
-                            del recent[leaders:]
-                        seen[own] = row[2]
-                        order = s >> np.uint64(1)
-                        if len(frequent):
-                            at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                            order = order | ((frequent[at] == s).astype(np.uint64) << np.uint64(63))
+        shingle, (frequent, _, words) = Shingler(k), common.value
+        names = ["doc_id", "n", "label", "prefix", "point", "shift", "fine"]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+
+        def run(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = [(doc, s) for doc, s, _ in rows if doc is not None and len(s)]
+            labels, first = label_run(found, percent)
+            out, at = [], 0
+            for doc, s, prefix in rows:
+                if doc is None or not len(s):
+                    out.append((doc, len(s), doc, None, None, None, None))
+                    continue
+                p, shift = point(s)
+                out.append((doc, len(s), labels[at], *((prefix, p.tobytes(), shift, fine_point(s)) if first[at] else (None,) * 4)))
+                at += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+        def documents() -> Iterator[tuple]:
+            for b in batches:
+                for doc, text, first in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                    s, places, w = shingle.with_words(text.as_py())
+                    prefix = None
+                    if len(s):
                         need = len(s) + (-percent * len(s)) // 100 + 1  # n - ceil(t n) + 1
-                        row[3:] = [s[np.argpartition(order, need - 1)[:need]].tobytes(), p.tobytes(), shift]
-                for col, x in zip(out, row, strict=True):
-                    col.append(x)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["doc_id", "n", "label", "prefix", "point", "shift"])
-
-    return ranged.mapInArrow(label, "doc_id long, n int, label long, prefix binary, point binary, shift int")
+                        prefix = s[np.argpartition(order_of(s, places, w, k, frequent, words), need - 1)[:need]].tobytes()
+                    yield first, (doc, s, prefix)
+
+        small_runs: list[tuple] = []  # runs of one document are handed on together
+        for _, rows in groupby(documents(), key=lambda x: x[0]):
+            held = []
+            for _, row in rows:
+                held.append(row)
+                if len(held) >= 4 * DEALT:
+                    yield from run(held)
+                    held = []
+            if len(held) == 1:
+                small_runs += held
+                if len(small_runs) >= 500:
+                    yield from alone(small_runs)
+                    small_runs = []
+            elif held:
+                yield from run(held)
+        if small_runs:
+            yield from alone(small_runs)
+
+    def alone(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n", "label", "prefix", "point", "shift", "fine"]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        out = []
+        for doc, s, prefix in rows:
+            if doc is None or not len(s):
+                out.append((doc, len(s), doc, None, None, None, None))
+            else:
+                p, shift = point(s)
+                out.append((doc, len(s), doc, prefix, p.tobytes(), shift, fine_point(s)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    return dealt.mapInArrow(label, "doc_id long, n int, label long, prefix binary, point binary, shift int, fine binary")
 
 
 def candidate_pairs(found: DataFrame, percent: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -205,14 +339,14 @@ def candidate_pairs(found: DataFrame, percent: int, frequent: np.ndarray, counts
 
     hot = counts >= BLOCK_ROWS
     hot_keys, blocks = frequent[hot], (counts[hot] // BLOCK_ROWS + 1).astype(np.int64)
-    schema = "key long, doc long, label long, size long, p0 long, p1 long"
-    names = ["key", "doc", "label", "size", "p0", "p1"]
+    names = ["key", "doc", "label", "size", "p0", "p1", "p2", "p3"]
+    schema = ", ".join(f"{c} long" for c in names)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             doc, n, label, shift = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 5))
             prefixes = [np.frombuffer(x, dtype=np.uint64) for x in b.column(3).to_pylist()]
-            pts = np.frombuffer(b"".join(b.column(4).to_pylist()), dtype=np.int64).reshape(-1, 2)
+            pts = np.frombuffer(b"".join(b.column(4).to_pylist()), dtype=np.int64).reshape(-1, 4)
             for at in range(0, len(doc), 2000):
                 keys, who = np.concatenate(prefixes[at : at + 2000]), np.repeat(np.arange(at, min(len(doc), at + 2000)), [len(p) for p in prefixes[at : at + 2000]])
                 if len(hot_keys):
@@ -227,8 +361,8 @@ def candidate_pairs(found: DataFrame, percent: int, frequent: np.ndarray, counts
                     cold = np.ones(len(keys), dtype=bool)
                     cold[dealt] = False
                     keys, who = np.concatenate([keys[cold], *more_k]), np.concatenate([who[cold], *more_w])
-                cols = [keys.view(np.int64), doc[who], label[who], n[who] << 8 | shift[who], pts[who, 0], pts[who, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+                cols = [keys.view(np.int64), doc[who], label[who], n[who] << 8 | shift[who], *pts[who].T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names)
 
     rows = found.filter("prefix IS NOT NULL").mapInArrow(emit, schema)
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -242,27 +376,35 @@ def candidate_pairs(found: DataFrame, percent: int, frequent: np.ndarray, counts
                 return
             cut = np.flatnonzero(np.diff(key, prepend=key[0] - 1 if key[0] > -(2**63) else key[0] + 1))
             ends = np.append(cut[1:], len(key))
-            mixed = np.flatnonzero(np.minimum.reduceat(label, cut) != np.maximum.reduceat(label, cut))
-            ia, ib = [], []
-            for x, y in zip(cut[mixed].tolist(), ends[mixed].tolist(), strict=True):
-                n = size[x:y] >> 8
-                if y - x == 2 and 100 * min(n) < percent * max(n):
-                    continue
-                pts = np.stack([cols[4][x:y], cols[5][x:y]], axis=1).view(np.uint8).astype(np.int64) << (size[x:y] & 255)[:, None]
-                i, j = tree_pairs(n, pts, label[x:y], percent)
-                ia.append(i + x)
-                ib.append(j + x)
-            if not ia:
-                return
-            i, j = np.concatenate(ia), np.concatenate(ib)
+            mixed = np.minimum.reduceat(label, cut) != np.maximum.reduceat(label, cut)
+            small, large = mixed & (ends - cut <= FLAT), mixed & (ends - cut > FLAT)
+
+            def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                yield from flat_pairs(cut[small], ends[small], cols, percent)
+                for x, y in zip(cut[large].tolist(), ends[large].tolist(), strict=True):
+                    for i, j in tree_pairs(size[x:y] >> 8, wide_points(cols, slice(x, y)), label[x:y], percent):
+                        yield i + x, j + x
+
+            ia, ib, n = [], [], 0
+            for i, j in found():
+                ia.append(i)
+                ib.append(j)
+                n += len(i)
+                if n >= PAIRS:
+                    yield named(np.concatenate(ia), np.concatenate(ib), doc, label)
+                    ia, ib, n = [], [], 0
+            if n:
+                yield named(np.concatenate(ia), np.concatenate(ib), doc, label)
+
+        def named(i: np.ndarray, j: np.ndarray, doc: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
             swap = label[i] > label[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             pairs = np.unique(np.stack([doc[i], doc[j], label[i], label[j]], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b", "la", "lb"])
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b", "la", "lb"])
 
         held: list[list[np.ndarray]] = []
         for b in batches:
-            cols = [b.column(i).to_numpy() for i in range(6)]
+            cols = [b.column(i).to_numpy() for i in range(8)]
             if not len(cols[0]):
                 continue
             last = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -276,6 +418,22 @@ def candidate_pairs(found: DataFrame, percent: int, frequent: np.ndarray, counts
     return dealt.mapInArrow(search, "a long, b long, la long, lb long").distinct()
 
 
+def refine(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs that survive the bound on their documents' finer points."""
+    import pyarrow as pa
+
+    fine = found.filter("fine IS NOT NULL").select("doc_id", "n", "fine")
+    both = pairs.join(fine.toDF("a", "na", "fa"), "a").join(fine.toDF("b", "nb", "fb"), "b")
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [fine_survives(*x, percent) for x in zip(*(b.column(i).to_pylist() for i in (4, 5, 6, 7)), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(ok, pa.bool_())) for i in range(4)], ["a", "b", "la", "lb"])
+
+    # a doc_id that repeats may bring a pair several times
+    return both.select("a", "b", "la", "lb", "na", "fa", "nb", "fb").mapInArrow(hold, "a long, b long, la long, lb long").distinct()
+
+
 def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b, la, lb) whose documents link, on their exact sets."""
     import pyarrow as pa
@@ -311,9 +469,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
     Two documents link when 100 x intersection >= percent x union of their sets of k-word shingles.
     """
-    frequent, counts = frequent_shingles(docs, k)
-    found = materialize(members(docs, k, percent, frequent), "members")
+    frequent, counts, words = frequent_shingles(docs, k)
+    found = materialize(members(docs, k, percent, frequent, counts, words), "members")
     pairs = materialize(candidate_pairs(found, percent, frequent, counts), "pairs")
+    pairs = materialize(refine(pairs, found, percent), "pairs")
     # rows of one doc_id may have several labels: these are links, too
     own = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.collect_set("label").alias("all"))
     edges = own.filter("a <> b").select("a", F.explode("all").alias("b"))
