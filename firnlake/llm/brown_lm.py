@@ -122,7 +122,9 @@ def exchange(bigrams: np.ndarray, n_core: int, classes: int, passes: int = 8) ->
             gain = (_xlogx(r) - _xlogx(rows)).sum(1) + (_xlogx(c) - _xlogx(cols)).sum(0)
             gain -= _xlogx(r[corner, corner]) - _xlogx(rows[corner, corner]) + _xlogx(c[corner, corner]) - _xlogx(cols[corner, corner])
             gain += _xlogx(both[corner, corner] + out[corner] + inn[corner] + own) - _xlogx(both[corner, corner])
-            gain -= _xlogx(r.sum(1) + own) - _xlogx(rows.sum(1)) + _xlogx(c.sum(0) + own) - _xlogx(cols.sum(0))
+            # the totals of each class: w follows and is followed by others wherever it goes
+            before, after = rows.sum(1) + inn[:classes], cols.sum(0) + out[:classes]
+            gain -= _xlogx(before + out.sum() + own) - _xlogx(before) + _xlogx(after + inn.sum() + own) - _xlogx(after)
             b = int(np.argmax(gain)) if gain.max() > gain[a] + 1e-9 else int(a)
             both[b] += out
             both[:, b] += inn
@@ -153,7 +155,7 @@ class Model:
     held: Table
     n: int
     v: int
-    discount: float = 0.5
+    discount: float
 
 
 def fit(rows: DataFrame, classes: int = 64, smooth: float = 5.0) -> tuple[Model, DataFrame]:
@@ -184,8 +186,10 @@ def fit(rows: DataFrame, classes: int = 64, smooth: float = 5.0) -> tuple[Model,
         shapes[:, r["s"]] = r["n"], r["v"]
     np.subtract.at(shapes[0], (core & np.uint64(31)).astype(np.int64), core_c)
     np.subtract.at(shapes[1], (core & np.uint64(31)).astype(np.int64), 1)
+    once = {r["c"]: r["n"] for r in counts.filter("c <= 2").groupBy("c").agg(F.count("*").alias("n")).collect()}  # at most 2 rows
+    discount = min(0.9, max(0.1, once.get(1, 0) / max(1, once.get(1, 0) + 2 * once.get(2, 0))))  # the usual estimate of absolute discounting
     core_share = np.log10(core_c / class_c[of[: len(core)]]) if len(core) else np.empty(0)
-    return Model(core, of, steps, core_share, shapes[0], shapes[1], Table(h, c), int(total["n"] or 0), int(total["v"])), counts
+    return Model(core, of, steps, core_share, shapes[0], shapes[1], Table(h, c), int(total["n"] or 0), int(total["v"]), discount), counts
 
 
 def shape_share(m: Model, shape: np.ndarray, c: np.ndarray) -> np.ndarray:
