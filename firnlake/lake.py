@@ -16,6 +16,7 @@ from .operators.rowops import Merge, RowOps
 from .operators.write import Writer
 from .sources.metastore import Metastore, Snapshot, seen
 from .sources.scan import Scanner, TableInfo
+from .sources.ship import ship
 
 
 class Lake:
@@ -26,6 +27,7 @@ class Lake:
     """
 
     def __init__(self, spark: SparkSession, catalog: str, data_path: str | None = None, create: bool = True, inline_limit: int = 0, prefix: str = "lake_") -> None:
+        ship(spark)
         self.spark, self.inline_limit = spark, inline_limit
         self.store = Metastore(catalog, data_path, create, prefix)
         self.scanner = Scanner(spark, self.store)
