@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.ship import ship
+
 #: What separates words: space and U+0009 to U+000D, in Java's regular expressions and in DuckDB's.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]"
@@ -31,6 +33,7 @@ def scratch_path(spark: SparkSession, what: str) -> str:
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage and survives lost executors."""
+    ship(df.sparkSession)
     path = scratch_path(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -52,6 +55,7 @@ def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
