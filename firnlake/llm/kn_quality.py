@@ -1,9 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
 Trusted text is that of documents labelled quality 1: a fifth of them (by crc32 of doc_id) sets the thresholds, the model
-is trained on at most max_rows of the others, those of the least seeded hash. Counts, continuation counts and contexts come
-from joins and group-bys by hash. The tables are bounded by the max_rows texts; every task holds them in
-shards by hash and looks up the n-grams of every whole text in one pass without a shuffle. A document goes whose log
+is trained on all others. Counts, continuation counts and contexts come from joins and group-bys by hash and stay
+distributed tables. The model is kept in back-off form, one table of logarithms by n-gram that add up to a text's score; tasks
+hold those of the likeliest HELD n-grams, all others are joined by hash with the n-grams of the texts. A document goes whose log
 perplexity is above its language's upper threshold or below its lower one; each is a quantile of the language's reserved trusted
 documents, moved outwards by slack times its distance from the median.
 
@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from .common import WordHasher, fold, materialize, mix64, restored, shielded, small
 from .lookup import Table
 
+#: Values of n-grams that the tasks hold.
+HELD = 1_000_000
 START, END = np.uint64(0x5EED), np.uint64(0xE0D)
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
@@ -43,11 +45,16 @@ def sequence_of(hasher: WordHasher, text: str | None) -> np.ndarray:
     return np.concatenate([[START, START], hasher(text.encode("utf-8", "surrogatepass").split() if text else []), [END]]).astype(np.uint64)
 
 
-def trusted_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
+def trusted(labels: DataFrame) -> DataFrame:
+    """_id of the documents labelled quality 1."""
+    own = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q"))
+    return own.filter(F.col("q") == 1).select("_id")
+
+
+def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text of the trusted rows that the model is trained on."""
-    own = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q")).filter(F.col("q") == 1)
-    own = own.filter(fold(F.col("_id"), 5) != 0).orderBy(F.xxhash64(F.lit(11), F.col("_id")), "_id").limit(max_rows).select("_id")
-    return docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("_id"), "left_semi").select("text")  # at most max_rows ids
+    own = small(materialize(trusted(labels).filter(fold(F.col("_id"), 5) != 0), "training"))
+    return docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("_id"), "left_semi").select("text")
 
 
 def trigram_counts(rows: DataFrame) -> DataFrame:
@@ -83,26 +90,25 @@ def _discount(d: list[float]) -> Column:
 
 @dataclass
 class Model:
-    """tri and bi: discounted shares of n-grams; ctx2 and ctx1: back-off weights of contexts; uni: probabilities of words; unknown: of any other."""
+    """values: (key, c, value) by n-gram; the log10 probability of a word is that of an unknown one and the values of the n-grams that end in it or are its contexts."""
 
-    tri: Table
-    ctx2: Table
-    bi: Table
-    ctx1: Table
-    uni: Table
+    values: DataFrame
     unknown: float
 
     def log10(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        p = self.uni.get(mix64(w), 0, self.unknown)
-        p = self.bi.get(key_of(v, w)) + self.ctx1.get(mix64(v), 0, 1.0) * p
-        known = np.flatnonzero(self.ctx2.find(key_of(u, v)) >= 0)
-        if len(known):
-            p[known] = self.tri.get(key_of(u[known], v[known], w[known])) + self.ctx2.get(key_of(u[known], v[known]), 0, 1.0) * p[known]
-        return np.log10(p)
+        """Of a few trigrams, on the driver."""
+        keys = [k.view(np.int64).tolist() for k in (key_of(u, v, w), key_of(u, v), key_of(v, w))]
+        ones = [k.view(np.int64).tolist() for k in (key_of(v), key_of(w))]
+        found = {r["key"]: r for r in self.values.filter(F.col("key").isin(sorted({k for x in (*keys, *ones) for k in x}))).collect()}
+
+        def of(keys: list[int], name: str) -> np.ndarray:
+            return np.array([found[k][name] if k in found else 0.0 for k in keys])
+
+        return np.log10(self.unknown) + of(keys[0], "own") + of(keys[1], "after") + of(keys[2], "own") + of(ones[0], "after") + of(ones[1], "own")
 
 
 def _order(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(…, share) of n-grams and (context, weight) of contexts, from counts c: one order of the interpolation."""
+    """(…, share, weight) of n-grams and (context, total, weight) of contexts, from counts c: one order of the interpolation."""
     d = _discounts(counts)
     ctx = counts.groupBy(*context).agg(F.sum("c").alias("total"), F.sum(_discount(d)).alias("freed"))
     ctx = materialize(ctx.withColumn("weight", F.col("freed") / F.col("total")), "contexts")
@@ -110,64 +116,101 @@ def _order(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]
     return shares, ctx
 
 
+def _keyed(df: DataFrame, words: list[str]) -> DataFrame:
+    """key, c (how often it is met), own and after of n-grams of the given words."""
+    import pyarrow as pa
+
+    n = len(words)
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                keys = key_of(*(b.column(i).to_numpy().view(np.uint64) for i in range(n)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *b.columns[n:]], ["key", "c", "own", "after"])
+
+    return df.select(*words, "c", "own", "after").mapInArrow(key, "key long, c long, own double, after double")
+
+
 def train(rows: DataFrame) -> Model | None:
-    """The model of the rows' texts; None if they have no words."""
+    """The model of the rows' texts; None if they have no words.
+
+    p(w | u, v) = share + weight(u, v) p(w | v) for known trigrams and weight(u, v) p(w | v) for others, and likewise below.
+    own is log10 of what an n-gram adds to its back-off, after the log10 weight of an n-gram as a context.
+    """
     tri = materialize(trigram_counts(rows), "trigrams")
     bi = materialize(tri.groupBy("v", "w").agg(F.count("*").alias("c")), "bigrams")
     uni = materialize(bi.groupBy("w").agg(F.count("*").alias("c")), "unigrams")
     total = uni.agg(F.sum("c").alias("s"), F.count("*").alias("n")).first()
     if not total["n"]:
         return None
-
-    def columns(df: DataFrame, *names: str) -> list[np.ndarray]:
-        t = df.select(*names).toArrow()
-        return [t.column(i).to_numpy() for i in range(len(names))]
-
-    def h(x: np.ndarray) -> np.ndarray:
-        return x.view(np.uint64)
-
     shares3, ctx3 = _order(tri, ["u", "v"])
     shares2, ctx2 = _order(bi, ["v"])
     d = _discounts(uni)
-    freed = uni.agg(F.sum(_discount(d))).first()[0]
-    unknown = freed / total["s"] / (total["n"] + 1)
-    u, v, w, s3 = columns(shares3, "u", "v", "w", "share")
-    cu, cv, g2 = columns(ctx3, "u", "v", "weight")
-    bv, bw, s2 = columns(shares2, "v", "w", "share")
-    c1, g1 = columns(ctx2, "v", "weight")
-    w1, p1 = columns(uni.withColumn("p", (F.col("c") - _discount(d)) / F.lit(float(total["s"])) + F.lit(unknown)), "w", "p")
-    f = np.float32
-    return Model(Table(key_of(h(u), h(v), h(w)), s3.astype(f)), Table(key_of(h(cu), h(cv)), g2.astype(f)), Table(key_of(h(bv), h(bw)), s2.astype(f)), Table(mix64(h(c1)), g1.astype(f)), Table(mix64(h(w1)), p1), unknown)
+    unknown = uni.agg(F.sum(_discount(d))).first()[0] / total["s"] / (total["n"] + 1)
+    one = uni.withColumn("p1", (F.col("c") - _discount(d)) / F.lit(float(total["s"])) + F.lit(unknown))
+    two = shares2.join(one.select("w", "p1"), "w").withColumn("p2", F.col("share") + F.col("weight") * F.col("p1"))
+    two = materialize(two.select("v", "w", "c", "p2", F.log10(F.col("p2") / F.col("weight") / F.col("p1")).alias("own")), "two")
+    three = shares3.join(two.select("v", "w", "p2"), ["v", "w"])
+    zero = F.lit(0.0)
+    three = three.select("u", "v", "w", "c", F.log10(1 + F.col("share") / F.col("weight") / F.col("p2")).alias("own"), zero.alias("after"))
+
+    def merged(own: DataFrame, ctx: DataFrame, words: list[str]) -> DataFrame:
+        both = own.withColumn("after", zero).unionByName(ctx.select(*words, F.col("total").alias("c"), zero.alias("own"), F.log10("weight").alias("after")))
+        return both.groupBy(*words).agg(*(F.sum(x).alias(x) for x in ("c", "own", "after")))
+
+    two = merged(two.drop("p2"), ctx3.select(F.col("u").alias("v"), F.col("v").alias("w"), "total", "weight"), ["v", "w"])
+    one = merged(one.select("w", "c", F.log10(F.col("p1") / F.lit(unknown)).alias("own")), ctx2.select(F.col("v").alias("w"), "total", "weight"), ["w"])
+    values = _keyed(three, ["u", "v", "w"]).unionByName(_keyed(two, ["v", "w"])).unionByName(_keyed(one, ["w"]))
+    return Model(materialize(values, "values"), unknown)
 
 
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     """docs with n_tokens (words) and log_ppl (mean negative log10 probability of words and end; null without words)."""
     import pyarrow as pa
 
-    held = docs.sparkSession.sparkContext.broadcast(model)  # as large as max_rows texts make it
-    names, text = docs.columns, docs.columns.index("text")
+    # every n-gram of a text's sequence counts once as own and once as a context; those that are never the one have 0 there
+    values = model.values.select("key", "c", (F.col("own") + F.col("after")).alias("value"))
+    best = values.orderBy(F.desc("c"), "key").limit(HELD).toArrow()
+    held = docs.sparkSession.sparkContext.broadcast(Table(best.column(0).to_numpy().view(np.uint64), best.column(2).to_numpy()))
+    unknown = float(np.log10(model.unknown))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, m = WordHasher(), held.value
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, table = WordHasher(), held.value
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                seqs = [sequence_of(hasher, t.as_py()) for t in part.column(text)]
+                seqs = [sequence_of(hasher, t.as_py()) for t in part.column(2)]
+                # by document: a row of what is known here, under a key of its own, and a row of each other n-gram
+                keys, rows, near = [], [], []
+                for i, s in enumerate(seqs):
+                    own = np.concatenate([key_of(s[1:]), key_of(s[:-1], s[1:]), key_of(s[:-2], s[1:-1], s[2:])])
+                    found = table.find(own)
+                    near.append((len(s) - 2) * unknown + (float(table.values[0][found[found >= 0]].sum()) if len(table.keys) else 0.0))
+                    keys.append(own[found < 0])
+                    rows.append(np.full(len(keys[-1]), i))
+                far, rows_ = np.concatenate(keys), np.concatenate(rows)
+                n = len(seqs)
+                take = pa.array(np.concatenate([np.arange(n), rows_]))
+                tail = len(far)
                 sizes = np.array([len(s) - 2 for s in seqs])
-                u, v, w = (np.concatenate([s[i : len(s) - 2 + i] for s in seqs]) for i in range(3))
-                sums = np.add.reduceat(m.log10(u, v, w), np.cumsum(sizes) - sizes)
-                value = pa.array(-sums / sizes, pa.float64(), mask=sizes == 1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes - 1, pa.int64()), value], [*names, "n_tokens", "log_ppl"])
+                first = key_of(part.column(1).to_numpy().view(np.uint64), np.arange(n, dtype=np.uint64))
+                columns = [part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate([first, far]).view(np.int64)), pa.array(np.concatenate([sizes, np.zeros(tail, np.int64)])), pa.array(np.concatenate([near, np.zeros(tail)]))]
+                yield pa.RecordBatch.from_arrays(columns, ["_doc", "_text", "key", "size", "near"])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("log_ppl", T.DoubleType())]))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    asked = docs.select(F.col("doc_id").alias("_doc"), text.alias("_text"), "text").mapInArrow(look, "_doc long, _text long, key long, size long, near double")
+    found = asked.join(values.select("key", "value"), "key", "left").withColumn("value", F.when(F.col("size") == 0, F.coalesce("value", F.lit(0.0))).otherwise(F.col("near")))
+    # rows that repeat add to both sums alike
+    sums = found.groupBy("_doc", "_text").agg(F.sum("value").alias("s"), F.sum("size").alias("n"), (F.max("size") - 1).alias("n_tokens"))
+    sums = materialize(sums.select("_doc", "_text", "n_tokens", F.when(F.col("n_tokens") > 0, -F.col("s") / F.col("n")).alias("log_ppl")), "perplexities")
+    return docs.withColumn("_hash", text).join(small(sums), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left").drop("_hash", "_doc", "_text")
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, model: Model, upper: float, lower: float, slack: float, min_docs: int, min_tokens: int) -> tuple[DataFrame, tuple[float, float]]:
+def thresholds(scored: DataFrame, labels: DataFrame, upper: float, lower: float, slack: float, min_docs: int, min_tokens: int) -> tuple[DataFrame, tuple[float, float]]:
     """low and high by language, and those of all languages together, from all reserved trusted documents."""
-    own = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q"))
-    own = materialize(own.filter((F.col("q") == 1) & (fold(F.col("_id"), 5) == 0)).select("_id"), "reserved")
-    held = docs.select("doc_id", "lang", "text").filter(fold(F.col("doc_id"), 5) == 0).join(small(own), F.col("doc_id") == F.col("_id"), "left_semi")
-    held = perplexities(held, model).filter(F.col("log_ppl").isNotNull() & (F.col("n_tokens") >= min_tokens))
+    own = materialize(trusted(labels).filter(fold(F.col("_id"), 5) == 0), "reserved")
+    held = scored.select("doc_id", "lang", "log_ppl", "n_tokens").filter(fold(F.col("doc_id"), 5) == 0).join(small(own), F.col("doc_id") == F.col("_id"), "left_semi")
+    held = held.filter(F.col("log_ppl").isNotNull() & (F.col("n_tokens") >= min_tokens))
     held = materialize(held.select("lang", "log_ppl"), "reserved")
     cuts = F.percentile_approx("log_ppl", F.lit([lower, 0.5, upper]), F.lit(10_000)).alias("q")
 
@@ -179,15 +222,16 @@ def thresholds(docs: DataFrame, labels: DataFrame, model: Model, upper: float, l
     return by.select("_lang", *moved(F.col("q"))), (all_["low"], all_["high"]) if all_ and all_["low"] is not None else (-1.0, 1e9)
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 1_000, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
     """docs with n_tokens, log_ppl, low, high and kept; columns of these names must be shielded."""
-    model = train(materialize(trusted_rows(docs, labels, max_rows), "trusted"))
+    model = train(materialize(trusted_rows(docs, labels), "trusted"))
     if model is None:
         blank = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")), F.lit(0)) == 0
         none = F.lit(None).cast("double")
         return docs.select("*", F.lit(0).cast("long").alias("n_tokens"), none.alias("log_ppl"), none.alias("low"), none.alias("high"), (~blank).alias("kept"))
-    by, (low, high) = thresholds(docs, labels, model, upper, lower, slack, min_docs, min_tokens)
-    out = perplexities(docs, model).join(small(materialize(by, "thresholds"), 100_000), F.col("lang") == F.col("_lang"), "left").drop("_lang")
+    scored = perplexities(docs, model)
+    by, (low, high) = thresholds(scored, labels, upper, lower, slack, min_docs, min_tokens)
+    out = scored.join(small(materialize(by, "thresholds"), 100_000), F.col("lang") == F.col("_lang"), "left").drop("_lang")
     out = out.withColumn("low", F.coalesce("low", F.lit(low))).withColumn("high", F.coalesce("high", F.lit(high)))
     kept = F.when(F.col("log_ppl").isNull(), False).when(F.col("n_tokens") < min_tokens, True).otherwise(F.col("log_ppl").between(F.col("low"), F.col("high")))
     return out.withColumn("kept", kept)

@@ -376,6 +376,40 @@ def test_kneser_ney_sums_to_one(spark):
             assert math.isclose(p.sum(), 1, rel_tol=1e-5)
 
 
+def test_all_trusted_rows_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(kn_quality, "HELD", 50)  # most n-grams take the joined path
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(40)], k=rng.randint(1, 6)) + [f"own{i}"])) for i in range(1800)] + [(1, "new words w1"), (5000, None)]
+    marks = [(i, int(i < 1700), 0) for i in range(1800)]
+    seqs = [["<", "<", *t.split(), ">"] for i, t in rows if t and i < 1700 and zlib.crc32(str(i).encode()) % 5]
+    assert len(seqs) > 1300
+    tri = collections.Counter(x for s in seqs for x in zip(s, s[1:], s[2:]))
+    bi = collections.Counter(x[1:] for x in tri)
+    uni = collections.Counter(x[1:] for x in bi)
+
+    def order(counts):
+        n = [0, *(sum(c == k for c in counts.values()) for k in (1, 2, 3, 4))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0
+        d = [min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else 1.5, 0.05), k - 0.05) for k in (1, 2, 3)] if y else [0.5, 0.75, 0.9]
+        total, freed = collections.Counter(), collections.Counter()
+        for x, c in counts.items():
+            total[x[:-1]] += c
+            freed[x[:-1]] += d[min(c, 3) - 1]
+        return lambda x, below: max(0, counts[x] - d[min(max(counts[x], 1), 3) - 1]) / total[x[:-1]] + freed[x[:-1]] / total[x[:-1]] * below if total[x[:-1]] else below
+
+    orders = [order(x) for x in (uni, bi, tri)]
+    got = kn_quality.quality(frame(spark, rows).select("doc_id", "text", "lang"), labels(spark, marks)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        s, total = ["<", "<", *(r.text or "").split(), ">"], 0.0
+        for x in zip(s, s[1:], s[2:]):
+            p = 1 / (len(uni) + 1)
+            for k, o in enumerate(orders):
+                p = o(x[2 - k :], p)
+            total -= math.log10(p)
+        assert r.n_tokens == len(s) - 3 and (r.log_ppl is None if len(s) == 3 else math.isclose(r.log_ppl, total / (len(s) - 2), rel_tol=1e-6))
+
+
 def test_clean_text_stays_and_junk_goes(spark):
     docs, marks = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet"), spark.read.parquet(f"{SF}/../sf0.01/labels.parquet")
     got = kn_quality.quality(docs.select("doc_id", "text", "lang"), marks).join(marks, "doc_id").toPandas()
