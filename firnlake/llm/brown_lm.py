@@ -1,14 +1,16 @@
 """Perplexity under a Brown class-based bigram model.
 
-The likeliest words are put into classes by exchange clustering: each moves to the class that raises the likelihood of
-the class bigrams most, in passes over all of them. Every other word, known or not, belongs to one of SHAPES classes by
-its length and last letter. A token's probability is that of its class after the class before, smoothed towards the class's
-own frequency, times the word's share of its class. Shapes discount every count by a constant; what this frees is for the words
-that training did not see, of which as many are taken to exist as it saw (one more), each as likely.
-
-Counts of words come from all training rows and stay a distributed table; so do those of words outside the CORE likeliest,
-which scoring joins by word with the distinct words of each document. To the driver go the CORE counts and the bigram
-counts between CORE words and shapes: at most (CORE + SHAPES + 2)^2 rows.
+Every word that training saw more than once has a class of its clustering. The CORE likeliest found the classes by exchange:
+each moves to the class that raises the likelihood of the class bigrams most, in passes over all of them. Then each other word joins
+the class that raises it most, by the counts of the classes and shapes before and after it, in tasks by word. Words seen once or
+never belong to one of SHAPES classes by their length and last letter. A token's probability is that of its class after the
+class before, smoothed towards the class's own frequency, times the word's share of its class. Shapes discount every count by a
+constant; what this frees is for the words that training did not see, of which as many are taken to exist as it saw (one
+more), each as likely.
+
+Counts and classes of words stay distributed tables; tasks hold those of the HELD likeliest, all others are joined by word with
+the distinct words of each document. To the driver go the CORE counts, the bigram counts between CORE words and shapes, at
+most (CORE + SHAPES + 2)^2 rows, and those between classes.
 
 Defined cases: a null text counts as empty and has the end alone. A null doc_id has a null fold, is learned from and is
 not held out. Without training rows both scores are 0 for the end and log10(1) for any token. Rows that repeat are
@@ -17,6 +19,7 @@ learned from and scored each. An empty table gives an empty result. Columns besi
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import WordHasher, fold, materialize, words_of
 from .lookup import Table
 
-#: Words that are clustered; words whose counts the tasks hold; shape classes.
+#: Words that found the classes; words whose counts and classes the tasks hold; shape classes.
 CORE, HELD, SHAPES = 1_000, 100_000, 32
 END = np.uint64(0xE0D << 5)
 
@@ -141,112 +144,227 @@ def exchange(bigrams: np.ndarray, n_core: int, classes: int, passes: int = 8) ->
     return of
 
 
+def contexts(rows: DataFrame, core: np.ndarray, of: np.ndarray) -> DataFrame:
+    """h, ctx and n of words outside the core: ctx is the class before, or that after plus the number of classes."""
+    import pyarrow as pa
+
+    k = int(of.max()) + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShapeHasher()
+        for b in batches:
+            hs, cs = [], []
+            for t in b.column(0):
+                h = token_hashes(hasher, t.as_py())
+                u = unit_ids(core, h)
+                cls, mine = of[u], np.flatnonzero(u >= len(core))
+                inner = mine[mine + 1 < len(h)]  # nothing follows the end
+                hs += [h[mine], h[inner]]
+                cs += [np.concatenate([[k - 1], cls[:-1]])[mine], cls[inner + 1] + k]
+            if hs:
+                h, c = np.concatenate(hs), np.concatenate(cs)
+                order = np.lexsort((c, h))
+                h, c = h[order], c[order]
+                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])[: len(h)])
+                n = np.diff(np.append(first, len(h)))
+                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(c[first], pa.int32()), pa.array(n, pa.int64())], ["h", "ctx", "n"])
+
+    return rows.select("text").mapInArrow(count, "h long, ctx int, n long")
+
+
+def best_classes(both: np.ndarray, classes: int, starts: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class that each word raises the likelihood of the class bigrams in most; a word's contexts begin at starts."""
+    k = len(both)
+    cells = np.concatenate([both[:, :classes], both[:classes].T])  # by context: counts of each class after it, and before it
+    gain = np.empty((len(starts), classes))
+    ends = np.append(starts[1:], len(ctx))
+    step = 2_000
+    for at in range(0, len(starts), step):
+        x, y = starts[at], ends[min(at + step, len(starts)) - 1]
+        old = cells[ctx[x:y]]
+        gain[at : at + step] = np.add.reduceat(_xlogx(old + n[x:y, None]) - _xlogx(old), starts[at : at + step] - x)
+    for t, mine in ((both[:classes].sum(1), ctx >= k), (both[:, :classes].sum(0), ctx < k)):
+        gain -= _xlogx(t + np.add.reduceat(np.where(mine, n, 0), starts)[:, None]) - _xlogx(t)
+    return gain.argmax(1)
+
+
+def assigned(rows: DataFrame, core: np.ndarray, of: np.ndarray, bigrams: np.ndarray, classes: int) -> DataFrame:
+    """h and cls of the words outside the core that the rows have more than once."""
+    import pyarrow as pa
+
+    k = int(of.max()) + 1
+    both = np.zeros((k, k))
+    np.add.at(both, (of[:, None], of[None, :]), bigrams)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)]
+
+        def done(h: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            total = np.add.reduceat(np.where(ctx < k, n, 0), starts)
+            cls = best_classes(both, classes, starts, ctx, n)
+            return pa.RecordBatch.from_arrays([pa.array(h[starts][total > 1]), pa.array(cls[total > 1], pa.int32())], ["h", "cls"])
+
+        for b in batches:  # a word's rows follow each other and may go on in the next batch
+            held = [np.concatenate([x, b.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held)]
+            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if cut:
+                yield done(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if len(held[0]):
+            yield done(*held)
+
+    dealt = contexts(rows, core, of).repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(assign, "h long, cls int")
+
+
 @dataclass
 class Model:
-    """core: sorted hashes of the clustered words; of: class of each unit; steps: log10 of class transitions; core_share: log10 of
-    each core word's share of its class; shape_total and shape_types: tokens and words by shape; held: counts of likely words; n and v: of training tokens."""
+    """core: sorted hashes of the words that found the classes; of: class of each unit; first_shape: number of clusters; steps: log10 of class
+    transitions (set once all words have classes); core_share: log10 of each core word's share of its class; class_total and class_types: tokens and words
+    by class; held: counts and classes of likely words; n and v: of training tokens."""
 
     core: np.ndarray
     of: np.ndarray
+    first_shape: int
     steps: np.ndarray
     core_share: np.ndarray
-    shape_total: np.ndarray
-    shape_types: np.ndarray
+    class_total: np.ndarray
+    class_types: np.ndarray
     held: Table
     n: int
     v: int
     discount: float
 
 
+def transitions(joint: np.ndarray, smooth: float) -> np.ndarray:
+    """log10 of the chance of class after class."""
+    to = joint.sum(0)
+    to[:-1] += 0.5  # nothing follows into the start
+    share = to / to.sum()
+    with np.errstate(divide="ignore"):
+        return np.log10((joint + smooth * share) / (joint.sum(1, keepdims=True) + smooth))
+
+
 def fit(rows: DataFrame, classes: int = 64, smooth: float = 5.0) -> tuple[Model, DataFrame]:
-    """The model of the rows' texts, and the table of all their words' counts."""
+    """The model of the rows' texts, its transitions those of the core and shapes, and the table (h, c, cls) of all their words."""
     counts = materialize(word_counts(rows), "counts")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    best = counts.orderBy(F.desc("c"), "h").limit(HELD).toArrow()
+    best = counts.orderBy(F.desc("c"), "h").limit(CORE).toArrow()
     h, c = best.column(0).to_numpy().view(np.uint64), best.column(1).to_numpy()
-    order = np.argsort(h[:CORE])
-    core, core_c = h[:CORE][order], c[:CORE][order].astype(float)
+    order = np.argsort(h)
+    core, core_c = h[order], c[order].astype(float)
     bigrams = unit_bigrams(rows, core)
     classes = max(1, min(classes, len(core)))
     of = exchange(bigrams, len(core), classes)
     k = int(of.max()) + 1
     joint = np.zeros((k, k))
     np.add.at(joint, (of[:, None], of[None, :]), bigrams)
-    to = joint.sum(0)
-    to[:-1] += 0.5  # nothing follows into the start
-    share = to / to.sum()
-    with np.errstate(divide="ignore"):
-        steps = np.log10((joint + smooth * share) / (joint.sum(1, keepdims=True) + smooth))
-    class_c = np.zeros(k)
-    np.add.at(class_c, of[: len(core)], core_c)
-    # the rest of the words by shape: how many tokens and how many words
-    shapes = np.zeros((2, SHAPES))
-    by = counts.groupBy(F.col("h").bitwiseAND(31).alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # at most SHAPES rows
-    for r in by:
-        shapes[:, r["s"]] = r["n"], r["v"]
-    np.subtract.at(shapes[0], (core & np.uint64(31)).astype(np.int64), core_c)
-    np.subtract.at(shapes[1], (core & np.uint64(31)).astype(np.int64), 1)
+    # classes of all words: of the core by exchange, of words seen again by their contexts, of the rest by shape
+    spark = rows.sparkSession
+    known = spark.createDataFrame([(int(x), int(y)) for x, y in zip(core.view(np.int64), of, strict=False)], "h long, cls int").unionByName(assigned(rows, core, of, bigrams, classes))
+    shape = (F.lit(classes) + F.col("h").bitwiseAND(31)).cast("int")
+    words = materialize(counts.join(known, "h", "left").select("h", "c", F.coalesce("cls", shape).alias("cls")), "words")
+    sums = np.zeros((2, k))
+    for r in words.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # at most one for each class
+        sums[:, r["cls"]] = r["n"], r["v"]
+    likely = words.orderBy(F.desc("c"), "h").limit(HELD).toArrow()
+    held = Table(likely.column(0).to_numpy().view(np.uint64), likely.column(1).to_numpy(), likely.column(2).to_numpy())
     once = {r["c"]: r["n"] for r in counts.filter("c <= 2").groupBy("c").agg(F.count("*").alias("n")).collect()}  # at most 2 rows
     discount = min(0.9, max(0.1, once.get(1, 0) / max(1, once.get(1, 0) + 2 * once.get(2, 0))))  # the usual estimate of absolute discounting
-    core_share = np.log10(core_c / class_c[of[: len(core)]]) if len(core) else np.empty(0)
-    return Model(core, of, steps, core_share, shapes[0], shapes[1], Table(h, c), int(total["n"] or 0), int(total["v"]), discount), counts
+    core_share = np.log10(core_c / sums[0][of[: len(core)]]) if len(core) else np.empty(0)
+    return Model(core, of, classes, transitions(joint, smooth), core_share, sums[0], sums[1], held, int(total["n"] or 0), int(total["v"]), discount), words
 
 
-def shape_share(m: Model, shape: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """log10 of the share that a word of count c (over 0) has of its shape."""
-    return np.log10((c - m.discount) / m.shape_total[shape])
+def class_bigrams(classed: DataFrame, k: int) -> np.ndarray:
+    """Matrix of counts of class after class; the last class is the start."""
+    import pyarrow as pa
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(k * k, dtype=np.int64)
+        for b in batches:
+            for cls in sequences(b):
+                np.add.at(out, np.concatenate([[k - 1], cls[:-1]]) * k + cls, 1)
+        p = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(out[p])], ["p", "c"])
 
-def brown_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, classes: int = 64) -> DataFrame:
+    found = classed.select("seq", "at", "cls").mapInArrow(count, "p long, c long").groupBy("p").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(k * k)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out.reshape(k, k)
+
+
+def sequences(b) -> Iterator[np.ndarray]:
+    """The classes of each row's tokens, from seq (a class, or -1 less the place of a far word), and the far words' places and classes."""
+    for seq, at, cls in zip(b.column(0), b.column(1), b.column(2), strict=True):
+        s = np.frombuffer(zlib.decompress(seq.as_py()), dtype="<i4").astype(np.int64)
+        if at.is_valid:
+            by = np.zeros(len(at), dtype=np.int64)
+            by[at.values.to_numpy()] = cls.values.to_numpy()
+            far = s < 0
+            s[far] = by[-1 - s[far]]
+        yield s
+
+
+def brown_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, classes: int = 64, smooth: float = 5.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     import pyarrow as pa
 
     out_of = F.coalesce(fold(F.col("doc_id"), modulus) == held_out, F.lit(False))
-    model, counts = fit(docs.filter(~out_of), classes)
+    model, words_ = fit(docs.filter(~out_of), classes, smooth)
     held = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: HELD counts and tables over CORE words and classes
-    n, v, step = model.n, model.v, 1 << 33
+    n, v, step, k = model.n, model.v, 1 << 33, len(model.steps)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         hasher, m, row = ShapeHasher(), held.value, TaskContext.get().partitionId() * step
         for b in batches:
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(8)]
             for t in b.column(1):
                 tokens = token_hashes(hasher, t.as_py())
-                unit = unit_ids(m.core, tokens)
-                cls = m.of[unit]
-                model_sum = float(m.steps[np.concatenate([[len(m.steps) - 1], cls[:-1]]), cls].sum())
-                is_core = unit < len(m.core)
-                model_sum += float(m.core_share[unit[is_core]].sum())
-                words, times = np.unique(tokens, return_counts=True)
+                words, inverse, times = np.unique(tokens, return_inverse=True, return_counts=True)
                 at = m.held.find(words)
                 near = at >= 0
-                c = m.held.values[0][at[near]] if near.any() else np.empty(0)
+                c, cls = (x[at[near]] for x in m.held.values) if near.any() else (np.empty(0), np.empty(0, np.int64))
                 base_sum = float((np.log10((c + 1) / (n + v + 1)) * times[near]).sum())
-                rest = near & (unit_ids(m.core, words) >= len(m.core))
-                if rest.any():
-                    model_sum += float((shape_share(m, (words[rest] & np.uint64(31)).astype(np.int64), m.held.values[0][at[rest]]) * times[rest]).sum())
-                for col, x in zip(cols, (row, len(tokens), int(times[near].sum()), base_sum, model_sum, words[~near].view(np.int64), times[~near]), strict=True):
+                model_sum = float((np.log10((c - np.where(cls >= m.first_shape, m.discount, 0)) / m.class_total[cls]) * times[near]).sum())
+                place = np.empty(len(words), dtype="<i4")
+                place[near], place[~near] = cls, -1 - np.arange(int((~near).sum()))
+                seq = zlib.compress(place[inverse].tobytes(), 1)
+                for col, x in zip(cols, (row, len(tokens), int(times[near].sum()), base_sum, model_sum, seq, words[~near].view(np.int64), times[~near]), strict=True):
                     col.append(x)
                 row += 1
-            sizes = np.cumsum([0, *map(len, cols[5])])
-            far = [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *x]), pa.int64())) for x in cols[5:]]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], kinds[0]), b.column(0), b.column(2), *(pa.array(x, k) for x, k in zip(cols[1:5], kinds[1:], strict=True)), *far], ["row", "doc_id", "held_out", "n_tokens", "near", "base_near", "model_near", "far", "times"])
+            sizes = np.cumsum([0, *map(len, cols[6])])
+            far = [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *x]), pa.int64())) for x in cols[6:]]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], kinds[0]), b.column(0), b.column(2), *(pa.array(x, t) for x, t in zip(cols[1:6], kinds[1:], strict=True)), *far], ["row", "doc_id", "held_out", "n_tokens", "near", "base_near", "model_near", "seq", "far", "times"])
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, near long, base_near double, model_near double, far array<long>, times array<long>"
-    scored = materialize(docs.select("doc_id", "text", out_of.alias("held_out")).mapInArrow(score, schema), "near")
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, near long, base_near double, model_near double, seq binary, far array<long>, times array<long>"
+    looked = materialize(docs.select("doc_id", "text", out_of.alias("held_out")).mapInArrow(look, schema), "near")
     # words outside the held counts: one row for each distinct one of a document, joined by word
-    far = scored.select("row", F.explode(F.arrays_zip("far", "times")).alias("x")).select("row", F.col("x.far").alias("h"), F.col("x.times").alias("k"))
-    far = far.join(counts, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    far = looked.select("row", F.posexplode(F.arrays_zip("far", "times")).alias("at", "x")).select("row", "at", F.col("x.far").alias("h"), F.col("x.times").alias("k"))
+    shape = (F.lit(model.first_shape) + F.col("h").bitwiseAND(31)).cast("int")
+    far = far.join(words_, "h", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("cls", F.coalesce("cls", shape))
+
+    def of_class(values: np.ndarray) -> Column:
+        return F.element_at(F.array(*(F.lit(float(x)) for x in values)), F.col("cls") + 1)
+
+    total, types = of_class(model.class_total), of_class(model.class_types)
+    less = F.when(F.col("cls") >= model.first_shape, F.lit(model.discount)).otherwise(F.lit(0.0))
+    share = F.when(F.col("c") > 0, (F.col("c") - less) / total).when(total > 0, F.lit(model.discount) * types / total / (types + 1)).otherwise(F.lit(1.0 / (v + 1)))
+    # places and classes of the far words of a document
+    pairs = F.collect_list(F.struct("at", "cls")).alias("pairs")
+    far = far.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(F.col("k") * F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))).alias("base"), F.sum(F.col("k") * F.log10(share)).alias("model"), pairs)
+    zero = F.lit(0.0)
+    classed = looked.drop("far", "times").join(far, "row", "left").select("seq", F.col("pairs.at").alias("at"), F.col("pairs.cls").alias("cls"), "doc_id", "held_out", "n_tokens", (F.col("near") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_near") + F.coalesce("base", zero)).alias("base_score"), (F.col("model_near") + F.coalesce("model", zero)).alias("shares"))
+    classed = materialize(classed, "classed")
+    steps = transitions(class_bigrams(classed.filter(~F.col("held_out")), k), smooth)
 
-    def of_shape(values: np.ndarray) -> Column:
-        return F.element_at(F.array(*(F.lit(float(x)) for x in values)), (F.col("h").bitwiseAND(31) + 1).cast("int"))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            moves = [float(steps[np.concatenate([[k - 1], cls[:-1]]), cls].sum()) for cls in sequences(b)]
+            total = b.column(9).to_numpy() + np.array(moves, dtype=float)
+            yield pa.RecordBatch.from_arrays([*b.columns[3:9], pa.array(total, pa.float64())], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    total, types = of_shape(model.shape_total), of_shape(model.shape_types)
-    share = F.when(F.col("c") > 0, (F.col("c") - model.discount) / total).when(total > 0, F.lit(model.discount) * types / total / (types + 1)).otherwise(F.lit(1.0 / (v + 1)))
-    far = far.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(F.col("k") * F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))).alias("base"), F.sum(F.col("k") * F.log10(share)).alias("model"))
-    out = scored.drop("far", "times").join(far, "row", "left")
-    zero = F.lit(0.0)
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("near") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_near") + F.coalesce("base", zero)).alias("base_score"), (F.col("model_near") + F.coalesce("model", zero)).alias("score"))
+    return classed.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -280,6 +280,42 @@ def test_class_model_sums_to_one(spark):
         assert math.isclose((10 ** model.core_share[model.of[: len(model.core)] == c]).sum(), 1, rel_tol=1e-9)
 
 
+def test_words_outside_the_core_are_clustered_and_scored(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CORE", 6)
+    monkeypatch.setattr(brown, "HELD", 8)  # most words take the joined path
+    rng = random.Random(8)
+    left, right = [f"l{i}" for i in range(12)], [f"r{i}" for i in range(12)]  # the two always alternate
+    rows = [(i, " ".join(rng.choices(x, range(13, 1, -1))[0] for _ in range(15) for x in (left, right))) for i in range(200)] + [(500, "l1 once l2 unseen")]
+    model, words = brown.fit(frame(spark, rows), classes=2)
+    hasher, of = brown.ShapeHasher(), {r.h: r.cls for r in words.collect()}
+    got = [[of[int(hasher([w.encode()]).view(np.int64)[0])] for w in x] for x in (left, right)]
+    assert len(words.filter("c > 1 AND cls >= 2").collect()) == 0
+    assert len(set(got[0])) == 1 and len(set(got[1])) == 1 and got[0][0] != got[1][0]
+    out = {r.doc_id: r for r in brown.brown_scores(frame(spark, rows), classes=2).collect()}
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    model, words = brown.fit(frame(spark, train), classes=2)
+    of = {r.h: (r.c, r.cls) for r in words.collect()}
+    k = len(model.steps)
+
+    def classes(t):
+        h = brown.token_hashes(hasher, t)
+        return [of.get(int(x), (0, 2 + int(x) % 32)) for x in h.view(np.int64)]
+
+    joint = np.zeros((k, k))
+    for _, t in train:
+        c = [k - 1, *(x for _, x in classes(t))]
+        np.add.at(joint, (c[:-1], c[1:]), 1)
+    steps = brown.transitions(joint, 5.0)
+    for i, t in rows:
+        seq, total, before = classes(t), 0.0, k - 1
+        for c, cls in seq:
+            size, types = model.class_total[cls], model.class_types[cls]
+            share = (c - (model.discount if cls >= 2 else 0)) / size if c else model.discount * types / size / (types + 1) if size else 1 / (model.v + 1)
+            total += steps[before, cls] + math.log10(share)
+            before = cls
+        assert math.isclose(out[i].score, total, rel_tol=1e-9)
+
+
 def test_exchange_finds_the_classes_of_a_toy_language():
     rng = np.random.default_rng(1)
     size, counts = 12, np.zeros((13, 13))
