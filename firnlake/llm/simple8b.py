@@ -164,9 +164,10 @@ class WordEncoder:
     def word(self, w: str) -> bytes:
         if not self.quick or not self.plain(w):
             return array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
-        if w.isalpha():
-            return self.pieces[w.lower()]
-        return b"".join([self.pieces[p] for p in self.parts(w.lower())])
+        w = w.lower()
+        if w.isalpha():  # after lowering: that of U+0130 has a mark, where the tokenizer parts
+            return self.pieces[w]
+        return b"".join([self.pieces[p] for p in self.parts(w)])
 
     def __call__(self, text: str) -> bytes:
         """The ids as native unsigned 32-bit integers."""

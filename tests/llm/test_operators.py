@@ -399,6 +399,12 @@ def test_ids_are_those_of_the_tokenizer(spark):
         at += len(ids)
 
 
+def test_words_whose_lower_case_has_marks():
+    encoder = simple8b._encoder(tokenizer())
+    for text in ("İstanbul", "İ", "xİy İ. aİ1 plain"):
+        assert np.frombuffer(encoder(text), dtype=np.uint32).tolist() == encoder.tok.encode(text, add_special_tokens=False).ids
+
+
 # ---- 9: quality classifier
 
 
