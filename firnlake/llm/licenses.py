@@ -1,12 +1,13 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 Every sentence of a whole text is a vector over words, weighted by term count times ln((1 + N) / (1 + df)) + 1 where df
-counts the documents of the corpus that have the word; words outside the templates count in its length with df 0. A file's
+counts the documents of the corpus that have the word, whichever word it is. A file's
 own licence is the template of the highest cosine, if it reaches the threshold. A file is a licence file if its name says so or
 if at least half of its words are in sentences that match. Files without a licence take that of the nearest ancestor directory
 with a licence file, by joining the ancestors of the distinct directories.
 
-To the driver go the df of the templates' words, a fixed number, and the number of documents.
+The df of the templates' words, a fixed number, and the number of documents go to the driver. That of all other words is a
+distributed table, joined by word with the sentences that share enough of a template to match.
 
 Defined cases: a null or blank text has no licence of its own and may inherit. A null path has the directory "" and does
 not inherit. Of several licence files in a directory the highest cosine counts, then the first name; equal cosines of one file go to the
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small
 
 # Notices by SPDX name.
 TEMPLATES = {
@@ -59,12 +60,15 @@ class Scorer:
     """Cosines of sentences to all templates, given the vocabulary's df and the number of documents."""
 
     def __init__(self, df: dict[str, int], n: int) -> None:
+        self.n = n
         self.idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in VOCABULARY}
-        self.other = math.log(1 + n) + 1
-        self.vectors = [(name, self.vector(t)) for name, texts in sorted(TEMPLATES.items()) for t in texts]
+        self.vectors = [(name, self.vector(t, {})) for name, texts in sorted(TEMPLATES.items()) for t in texts]
 
-    def vector(self, sentence: str) -> dict[str, float]:
-        v = {w: c * self.idf.get(w, self.other) for w, c in Counter(words(sentence)).items()}
+    def weight(self, w: str, df: dict[str, int]) -> float:
+        return self.idf[w] if w in self.idf else math.log((1 + self.n) / (1 + df.get(w, 0))) + 1
+
+    def vector(self, sentence: str, df: dict[str, int]) -> dict[str, float]:
+        v = {w: c * self.weight(w, df) for w, c in Counter(words(sentence)).items()}
         norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
         return {w: x / norm for w, x in v.items()}
 
@@ -72,9 +76,9 @@ class Scorer:
         """Whether a text of these words can reach threshold: a cosine is at most the length of the template's part that is shared."""
         return any(sum(x * x for w, x in t.items() if w in found) >= threshold * threshold - 1e-9 for _, t in self.vectors)
 
-    def best(self, sentence: str) -> tuple[float, str | None]:
-        """The highest cosine and its template's name."""
-        v = self.vector(sentence)
+    def best(self, sentence: str, df: dict[str, int] | None = None) -> tuple[float, str | None]:
+        """The highest cosine and its template's name, given the df of the words outside the vocabulary."""
+        v = self.vector(sentence, df or {})
         score, name = 0.0, None
         for n, t in self.vectors:
             dot = round(sum(x * v[w] for w, x in t.items() if w in v), 9)
@@ -100,6 +104,21 @@ def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
     return df, df.pop("", 0)
 
 
+def all_frequencies(files: DataFrame) -> DataFrame:
+    """w and n: df of every word outside the vocabulary over all texts."""
+    import pyarrow as pa
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set(VOCABULARY)
+        for b in batches:
+            seen = Counter()
+            for t in b.column(0):
+                seen.update(set(words(t.as_py() or "")) - known)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["w", "n"])
+
+    return files.select("text").mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
 def scan(files: DataFrame, threshold: float = 0.6, keep: tuple[str, ...] = ()) -> DataFrame:
     """keep's columns, path, license (own; null if none), cosine and license_file of every file."""
     import pyarrow as pa
@@ -107,21 +126,38 @@ def scan(files: DataFrame, threshold: float = 0.6, keep: tuple[str, ...] = ()) -
     df, n = document_frequencies(files)
     scorer, k = Scorer(df, n), len(keep)
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set(VOCABULARY)
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        known, row = set(VOCABULARY), TaskContext.get().partitionId() << 33
         for b in batches:
-            names, scores, files_ = [], [], []
+            totals, units, others = [], [], []
             for text in b.column(k + 1).to_pylist():
-                best, name, inside, total = 0.0, None, 0, 0
+                total, own_units, other = 0, [], set()
                 whole = scorer.possible(known.intersection(words(text or "")), threshold)
                 for s in _SENTENCE.split(text) if whole else ():
                     own = words(s)
                     total += len(own)
-                    if not scorer.possible(known.intersection(own), threshold):
-                        continue
-                    score, found = scorer.best(s)
+                    if scorer.possible(known.intersection(own), threshold):
+                        own_units.append(s)
+                        other.update(set(own) - known)
+                totals.append(total)
+                units.append(own_units)
+                others.append(sorted(other))
+            strings = pa.list_(pa.string())
+            rows = pa.array(range(row, row + b.num_rows), pa.int64())
+            row += b.num_rows
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(k + 1)), rows, pa.array(totals, pa.int64()), pa.array(units, strings), pa.array(others, strings)], [*keep, "path", "_row", "_total", "_units", "_others"])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, scores, files_ = [], [], []
+            for total, units, ws, ns in zip(*(b.column(i).to_pylist() for i in range(k + 1, k + 5)), strict=True):
+                best, name, inside, own = 0.0, None, 0, dict(zip(ws or (), ns or (), strict=True))
+                for s in units:
+                    score, found = scorer.best(s, own)
                     if score >= threshold:
-                        inside += len(own)
+                        inside += len(words(s))
                         if (-score, found) < (-best, name or "~"):
                             best, name = score, found
                 names.append(name)
@@ -129,8 +165,15 @@ def scan(files: DataFrame, threshold: float = 0.6, keep: tuple[str, ...] = ()) -
                 files_.append(bool(total) and 2 * inside >= total)
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(k + 1)), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(files_, pa.bool_())], [*keep, "path", "license", "cosine", "mostly"])
 
-    schema = "".join(f"`{c}` {files.schema[c].dataType.simpleString()}, " for c in keep) + "path string, license string, cosine double, mostly boolean"
-    out = files.select(*keep, F.col("path").cast("string").alias("path"), "text").mapInArrow(match, schema)
+    kept = "".join(f"`{c}` {files.schema[c].dataType.simpleString()}, " for c in keep) + "path string, "
+    looked = files.select(*keep, F.col("path").cast("string").alias("path"), "text").mapInArrow(look, kept + "_row long, _total long, _units array<string>, _others array<string>")
+    looked = materialize(looked, "sentences")
+    asked = looked.select("_row", F.explode("_others").alias("w"))
+    wanted = small(materialize(asked.select("w").distinct(), "words"))
+    df_ = small(materialize(all_frequencies(files).join(wanted, "w", "left_semi"), "frequencies"))
+    got = asked.join(df_, "w").groupBy("_row").agg(F.collect_list(F.struct("w", "n")).alias("g"))
+    out = looked.join(got, "_row", "left").select(*keep, "path", "_total", "_units", F.col("g.w").alias("_w"), F.col("g.n").alias("_n"))
+    out = out.mapInArrow(match, kept + "license string, cosine double, mostly boolean")
     named = F.coalesce(F.col("path").rlike(LICENSE_NAME), F.lit(False))
     return out.withColumn("license_file", F.col("license").isNotNull() & (named | F.col("mostly"))).drop("mostly")
 

@@ -201,6 +201,24 @@ def test_license_cosine_equals_brute_force(spark):
         assert abs(r.cosine - (best[0] if best[0] >= 0.6 else 0)) < 1e-9
 
 
+def test_license_cosine_uses_the_df_of_all_words(spark):
+    texts = ["The everyday useful work is licensed under CC BY 4.0", "everyday useful all rights reserved", *["the everyday useful work is by under"] * 300]
+    df = collections.Counter(w for t in texts for w in set(licenses.words(t)))
+
+    def vector(t):
+        return {w: c * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, c in collections.Counter(licenses.words(t)).items()}
+
+    def cosine(x, y):
+        return sum(a * y.get(w, 0) for w, a in x.items()) / math.sqrt(sum(a * a for a in x.values()) * sum(a * a for a in y.values()))
+
+    files = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r.path: r for r in licenses.scan(files).collect()}
+    assert len(got) == len(texts) and got["f0"].license == "CC-BY-4.0" and got["f1"].license == "Proprietary" and got["f9"].license is None
+    for i in (0, 1):
+        best = max(cosine(vector(texts[i]), vector(t)) for ts in licenses.TEMPLATES.values() for t in ts)
+        assert math.isclose(got[f"f{i}"].cosine, best, abs_tol=1e-8)
+
+
 def test_license_is_inherited_from_the_nearest_directory(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "code"), ("a/b/c/COPYING", "This work is licensed under the GNU General Public License, version 3."), ("a/b/c/d/e.py", None), ("a/q.py", "code"), ("top.py", "x"), ("ab/z.py", "x")]
     got = {r.path: (r.effective_license, r.inherited_from) for r in licenses.license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
