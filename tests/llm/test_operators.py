@@ -107,8 +107,9 @@ def brute_components(rows, k, percent):
 
 @pytest.mark.parametrize(("k", "percent", "block"), [(4, 85, 50_000), (2, 60, 15)])
 def test_join_finds_every_link(spark, monkeypatch, k, percent, block):
-    monkeypatch.setattr(join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(join, "HOT_ROWS", block)
     monkeypatch.setattr(join, "DEALT", 20)
+    monkeypatch.setattr(join, "TILE", 40 * block)
     rng = random.Random(7)
     base = [[f"{rng.choice('abcdefgh')}{rng.randint(0, 20)}" for _ in range(rng.choice([2, 4, 9, 30, 80]))] for _ in range(40)]
     rows = []
@@ -124,14 +125,14 @@ def test_join_finds_every_link(spark, monkeypatch, k, percent, block):
 def test_bounds_never_drop_a_link():
     rng = np.random.default_rng(3)
     for _ in range(300):
-        n = int(rng.integers(1, 400))
+        n = int(rng.integers(1, 1500))
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 63, int(rng.integers(0, 20)), dtype=np.uint64)]))
         if join.links(a, b, 85):
-            (pa, sa), (pb, sb) = join.point(a), join.point(b)
-            sizes = np.array([len(a)]), np.array([len(b)])
-            assert join.survives(sizes[0], join.widened(pa[None], np.array([sa])), sizes[1], join.widened(pb[None], np.array([sb])), 85).all()
-            assert join.fine_survives(len(a), join.fine_point(a), len(b), join.fine_point(b), 85)
+            bound = join.Points([join.point(x).tobytes() for x in (a, b)]).bound(np.array([0]), np.array([1]))[0]
+            assert bound >= len(np.intersect1d(a, b)) and 185 * bound >= 85 * (len(a) + len(b))
+    same = np.arange(1000, dtype=np.uint64) << np.uint64(20)  # all in one group, beyond what a byte counts
+    assert join.Points([join.point(same).tobytes()] * 2).bound(np.array([0]), np.array([1]))[0] >= 1000
 
 
 def test_tree_pairs_are_those_of_all_rows():
@@ -140,10 +141,29 @@ def test_tree_pairs_are_those_of_all_rows():
     pts = rng.multinomial(40, np.ones(join.GROUPS) / join.GROUPS, 500)
     label = np.where(rng.random(500) < 0.5, 7, np.arange(500) + 100)
     i, j = (np.concatenate(x) for x in zip(*join.tree_pairs(n, pts, label, 60), strict=True))
-    full = np.triu(join.survives(n, pts, n, pts, 60) & (label[:, None] != label[None, :]), 1)
+    lo, hi = np.minimum.outer(n, n), np.maximum.outer(n, n)
+    bound = np.minimum(pts[:, None], pts[None]).sum(2)
+    full = np.triu((100 * lo >= 60 * hi) & (160 * bound >= 60 * (lo + hi)) & (label[:, None] != label[None, :]), 1)
     assert {tuple(sorted(x)) for x in zip(i, j, strict=True)} == set(zip(*np.nonzero(full), strict=True))
 
 
+def test_labels_of_a_block_are_joined_as_by_all_pairs():
+    rng = np.random.default_rng(11)
+    bases = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(6)]
+    sets = [np.unique(np.concatenate([b[rng.random(len(b)) > 0.06], rng.integers(0, 1 << 63, 3, dtype=np.uint64)])) for b in bases for _ in range(40)]
+    label = np.where(rng.random(240) < 0.3, 5, 100 + np.arange(240))
+    for part in (np.zeros(240, np.int64), np.arange(240) % 2):
+        got, want = join.Labels(label), join.Labels(label)
+        place = {x: i for i, x in enumerate(label.tolist())}
+        for a, b in join.linked_labels(label, part, sets, 80):
+            got.join(place[a], place[b])
+        for a in range(240):
+            for b in range(a):
+                if join.links(sets[a], sets[b], 80) and (part[a] != part[b] or not part.any()):
+                    want.join(a, b)
+        assert (got.root == want.root).all() and len(np.unique(got.root)) < 200
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 30)] + [(5, 5), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
