@@ -41,13 +41,14 @@ DECONTAMINATION = r"""
 WITH b AS (SELECT th, min(item_id) AS item_id FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS th FROM benchmark) WHERE len(th) > 0 GROUP BY th),
 d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS th FROM documents),
 k AS (SELECT 0 AS mask, [2, 3, 5, 6, 8, 9, 11, 12] AS pos UNION ALL SELECT 1, [1, 3, 4, 6, 7, 9, 10, 12] UNION ALL SELECT 2, [1, 2, 4, 5, 7, 8, 10, 11]),
-bw AS (SELECT item_id, min(bi) AS bi, mask, key FROM (SELECT item_id, i AS bi, mask, list_transform(pos, lambda x: th[i + x]) AS key FROM (SELECT item_id, th, unnest(range(0, len(th) - 11)) AS i FROM b WHERE len(th) >= 12), k
-  UNION ALL SELECT item_id, 0, 100 + len(th), th FROM b WHERE len(th) < 12) GROUP BY ALL),
+bw AS (SELECT item_id, i AS bi, mask, list_transform(pos, lambda x: th[i + x]) AS key FROM (SELECT item_id, th, unnest(range(0, len(th) - 11)) AS i FROM b WHERE len(th) >= 12), k
+  UNION ALL SELECT item_id, 0, 100 + len(th), th FROM b WHERE len(th) < 12),
 dw AS (SELECT doc_id, i AS di, mask, list_transform(pos, lambda x: th[i + x]) AS key FROM (SELECT doc_id, th, unnest(range(0, len(th) - 11)) AS i FROM d WHERE len(th) >= 12), k
   UNION ALL SELECT doc_id, i, 100 + n, th[i + 1:i + n] FROM (SELECT doc_id, th, n, unnest(range(0, len(th) - n + 1)) AS i FROM d, (SELECT DISTINCT len(th) AS n FROM b WHERE len(th) < 12) WHERE len(th) >= n)),
-hit AS (SELECT dw.doc_id, bw.item_id, di, bi FROM dw JOIN bw ON dw.mask = bw.mask AND dw.key = bw.key),
+hit AS (SELECT DISTINCT dw.doc_id, bw.item_id, di, bi FROM dw JOIN bw ON dw.mask = bw.mask AND dw.key = bw.key),
 al AS (SELECT hit.*, d.th AS dt, b.th AS bt, greatest(0, bi - di, bi - 6) AS lo, least(len(b.th), len(d.th) + bi - di, bi + 18) AS hi FROM hit JOIN d ON d.doc_id = hit.doc_id JOIN b ON b.item_id = hit.item_id),
-ok AS (SELECT doc_id, item_id FROM al WHERE len(list_filter(range(lo, hi), lambda j: bt[j + 1] = dt[j + di - bi + 1])) >= 0.75 * (hi - lo)),
+eq AS (SELECT doc_id, item_id, hi - lo AS n, array_to_string(list_transform(range(lo, hi), lambda j: CASE WHEN bt[j + 1] = dt[j + di - bi + 1] THEN '1' ELSE '0' END), '') AS same FROM al),
+ok AS (SELECT doc_id, item_id FROM eq WHERE len(replace(same, '0', '')) >= 0.75 * n OR contains(same, '1111111111111')),
 s AS (SELECT doc_id, item_id, count(*) AS n FROM ok GROUP BY ALL),
 t AS (SELECT doc_id, count(*) AS n_items, CAST(sum(n) AS BIGINT) AS n_hits, list_sort(list(item_id)) AS item_ids FROM s GROUP BY doc_id)
 SELECT d.doc_id, t.doc_id IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(n_hits, 0) AS n_hits, array_to_string(coalesce(item_ids, []), ',') AS item_ids

@@ -376,31 +376,56 @@ def test_passages_are_found_with_substitutions(spark):
     assert {i for i, r in got.items() if r.contaminated} == {1, 2, 5, 6} and got[1].item_ids == [10] and got[6].item_ids == [11]
 
 
+def test_every_occurrence_in_an_item_is_a_hit(spark):
+    def words(mark, n):
+        return [f"{mark}{i}" for i in range(n)]
+
+    w, b, c = words("w", 12), words("b", 6), words("c", 6)
+    item = [*words("u", 20), *w, *words("v", 20), *b, *w, *c, *words("t", 20)]
+    doc = [*words("z", 10), *b[:4], "x", "x", *w, "y", "y", *c[2:], *words("q", 10)]  # around the second occurrence
+    got = decontam.find_contaminated(frame(spark, [(1, " ".join(doc))]), benchmark(spark, [(5, " ".join(item))])).collect()
+    assert [(r.doc_id, r.item_id, r.matched) for r in got] == [(1, 5, 20)]
+
+
+def test_a_run_of_equal_tokens_and_an_item_without_an_id(spark):
+    item = [f"i{x}" for x in range(60)]
+    noise = [f"n{x}" for x in range(40)]
+    rows = [(1, " ".join(noise + item[20:33] + noise)), (2, " ".join(noise + item[20:32] + noise)), (3, " ".join(noise)), (4, None), (None, " ".join(item))]
+    got = {r.doc_id: r for r in decontam.verdicts(frame(spark, rows), benchmark(spark, [(None, " ".join(item)), (None, None), (7, "")])).collect()}
+    assert {i for i, r in got.items() if r.contaminated} == {1, None} and got[1].n_items == 1 and got[1].item_ids == []
+
+
 def test_hits_equal_brute_force(spark):
+    rng = random.Random(12)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    some = [" ".join(f"r{rng.randint(0, 2)}" for _ in range(n)) for n in (3, 11, 12, 40, 70)]  # repetitive ones, and short ones
+    items += [(90_000 + i, t) for i, t in enumerate(some)]
+    docs += [(90_000 + i, f"{' '.join(f'r{rng.randint(0, 2)}' for _ in range(30))} {some[i % 5]} end") for i in range(20)]
 
     def tokens(t):
         return re.findall(r"[^\W_]+", (t or "").lower())
 
     found = decontam.find_contaminated(frame(spark, docs), benchmark(spark, items))
-    got = sorted((r.doc_id, r.item_id, r.n_hits) for r in found.collect())
+    got = sorted((r.doc_id, r.item_id, r.n_hits, r.matched, round(r.best_share, 9)) for r in found.collect())
     expected = []
     for i, t in docs:
         th = tokens(t)
         for j, u in items:
-            b, hits = tokens(u), 0
+            b, hits = tokens(u), []
             starts = collections.defaultdict(list)
-            for y in range(len(b) - 11):
-                for m in decontam.MASKS:
-                    starts.setdefault((m, tuple(b[y + k] for k in m)), [y])
-            for x in range(len(th) - 11):
-                for m in decontam.MASKS:
-                    for y in starts.get((m, tuple(th[x + k] for k in m)), ()):
-                        low, high = max(0, y - x, y - 6), min(len(b), len(th) + y - x, y + 18)
-                        hits += sum(b[z] == th[z + x - y] for z in range(low, high)) >= 0.75 * (high - low)
+            masks = [(m, decontam.SPAN) for m in decontam.MASKS] if len(b) >= 12 else [(tuple(range(len(b))), len(b))]
+            for m, span in masks:
+                for y in range(len(b) - span + 1):
+                    starts[m, tuple(b[y + k] for k in m)].append(y)
+            places = {(x, y) for m, span in masks for x in range(len(th) - span + 1) for y in starts.get((m, tuple(th[x + k] for k in m)), ())}
+            for x, y in places:
+                low, high = max(0, y - x, y - 6), min(len(b), len(th) + y - x, y + 18)
+                same = "".join("01"[b[z] == th[z + x - y]] for z in range(low, high))
+                if same.count("1") >= 0.75 * len(same) or "1" * 13 in same:
+                    hits.append((same.count("1"), same.count("1") / len(same)))
             if hits:
-                expected.append((i, j, hits))
+                expected.append((i, j, len(hits), max(x for x, _ in hits), round(max(x for _, x in hits), 9)))
     assert got == sorted(expected)
 
 
