@@ -63,9 +63,8 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.75
     # distinct lengths below SPAN: at most SPAN - 1 rows
     short = sorted(r[0] for r in b.filter(f"size(th) < {SPAN}").select(F.size("th")).distinct().collect())
     seeds = _windows(b, ["item"])
-    if short:
-        whole = b.filter(f"size(th) < {SPAN}")
-        seeds = seeds.unionByName(_short_windows(whole, ["item", "th"], short).filter(F.expr("at = 0 AND h = element_at(array(" + ", ".join(_hash(100 + n, tuple(range(n)), "0") if n in short else "0" for n in range(1, SPAN)) + "), size(th))")).drop("th"))
+    for n in short:
+        seeds = seeds.unionByName(b.filter(f"size(th) = {n}").select("item", F.lit(0).alias("at"), F.expr(_hash(100 + n, tuple(range(n)), "0")).alias("h")))
     seeds = materialize(seeds.withColumnsRenamed({"at": "b_at", "h": "b_h"}), "seeds")
     if seeds.count() <= BROADCAST_ROWS:
         seeds = F.broadcast(seeds)
