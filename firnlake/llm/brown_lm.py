@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, fold, materialize, words_of
+from .common import fold, framed, hashed, materialize
 from .lookup import Table
 
 #: Words that found the classes; words whose counts and classes the tasks hold; shape classes.
@@ -35,16 +35,17 @@ CORE, HELD, SHAPES = 1_000, 100_000, 32
 END = np.uint64(0xE0D << 5)
 
 
-class ShapeHasher(WordHasher):
-    """64-bit hashes of words with the word's shape in the lowest five bits."""
+def tokens_of(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bounds, hashes) of the words and the ends of some rows of an Arrow column of texts at a time; a word's shape is in the lowest five bits."""
+    for bounds, words in hashed(texts, shaped=True):
+        yield framed(bounds, words, END, 0, END)
 
-    def hash_of(self, word: bytes) -> int:
-        return self.digest(word) & ~31 | min(len(word), 15) // 4 * 8 + word[-1] % 8
 
-
-def token_hashes(hasher: ShapeHasher, text: str | None) -> np.ndarray:
-    """The words and the end of a text."""
-    return np.append(hasher(words_of(text)), END)
+def before(bounds: np.ndarray, values: np.ndarray, start: int) -> np.ndarray:
+    """The value before each of some rows' values, start before a row's first."""
+    out = np.empty_like(values)
+    out[1:], out[bounds[:-1]] = values[:-1], start
+    return out
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -52,10 +53,9 @@ def word_counts(rows: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ShapeHasher()
         for b in batches:
             if b.num_rows:
-                h, c = np.unique(np.concatenate([token_hashes(hasher, t.as_py()) for t in b.column(0)]), return_counts=True)
+                h, c = np.unique(np.concatenate([h for _, h in tokens_of(b.column(0))]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c, pa.int64())], ["h", "c"])
 
     return rows.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
@@ -76,15 +76,13 @@ def unit_bigrams(rows: DataFrame, core: np.ndarray) -> np.ndarray:
     size = len(core) + SHAPES + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ShapeHasher()
+        out = np.zeros(size * size, dtype=np.int64)
         for b in batches:
-            pairs = []
-            for t in b.column(0):
-                u = unit_ids(core, token_hashes(hasher, t.as_py()))
-                pairs.append(np.concatenate([[size - 1], u[:-1]]) * size + u)
-            if pairs:
-                p, c = np.unique(np.concatenate(pairs), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(c, pa.int64())], ["p", "c"])
+            for bounds, h in tokens_of(b.column(0)):
+                u = unit_ids(core, h)
+                out += np.bincount(before(bounds, u, size - 1) * size + u, minlength=size * size)
+        p = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(out[p])], ["p", "c"])
 
     found = rows.select("text").mapInArrow(count, "p long, c long").groupBy("p").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(size * size)
@@ -151,19 +149,21 @@ def contexts(rows: DataFrame, core: np.ndarray, of: np.ndarray) -> DataFrame:
     k = int(of.max()) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ShapeHasher()
+        bits = np.uint64((2 * k).bit_length())
         for b in batches:
             hs, cs = [], []
-            for t in b.column(0):
-                h = token_hashes(hasher, t.as_py())
+            for bounds, h in tokens_of(b.column(0)):
                 u = unit_ids(core, h)
                 cls, mine = of[u], np.flatnonzero(u >= len(core))
-                inner = mine[mine + 1 < len(h)]  # nothing follows the end
+                last = np.zeros(len(h), dtype=bool)
+                last[bounds[1:] - 1] = True
+                inner = mine[~last[mine]]  # nothing follows the end
                 hs += [h[mine], h[inner]]
-                cs += [np.concatenate([[k - 1], cls[:-1]])[mine], cls[inner + 1] + k]
+                cs += [before(bounds, cls, k - 1)[mine], cls[inner + 1] + k]
             if hs:
                 h, c = np.concatenate(hs), np.concatenate(cs)
-                order = np.lexsort((c, h))
+                # a word's contexts come together, but for words with the same lower bits, which assigned() puts right
+                order = np.argsort(h << bits | c.astype(np.uint64))
                 h, c = h[order], c[order]
                 first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])[: len(h)])
                 n = np.diff(np.append(first, len(h)))
@@ -200,6 +200,8 @@ def assigned(rows: DataFrame, core: np.ndarray, of: np.ndarray, bigrams: np.ndar
         held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)]
 
         def done(h: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])]))
+            h, ctx, n = h[new], ctx[new], np.add.reduceat(n, new)  # several tasks may have counted a context
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             total = np.add.reduceat(np.where(ctx < k, n, 0), starts)
             cls = best_classes(both, classes, starts, ctx, n)
@@ -214,7 +216,7 @@ def assigned(rows: DataFrame, core: np.ndarray, of: np.ndarray, bigrams: np.ndar
         if len(held[0]):
             yield done(*held)
 
-    dealt = contexts(rows, core, of).repartition("h").sortWithinPartitions("h")
+    dealt = contexts(rows, core, of).repartition("h").sortWithinPartitions("h", "ctx")
     return dealt.mapInArrow(assign, "h long, cls int")
 
 
@@ -283,8 +285,9 @@ def class_bigrams(classed: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(k * k, dtype=np.int64)
         for b in batches:
-            for cls in sequences(b):
-                np.add.at(out, np.concatenate([[k - 1], cls[:-1]]) * k + cls, 1)
+            pairs = [np.concatenate([[k - 1], cls[:-1]]) * k + cls for cls in sequences(b)]
+            if pairs:
+                out += np.bincount(np.concatenate(pairs), minlength=k * k)
         p = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(out[p])], ["p", "c"])
 
@@ -294,10 +297,20 @@ def class_bigrams(classed: DataFrame, k: int) -> np.ndarray:
     return out.reshape(k, k)
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Whole numbers of 16 bits, or else 32, with their width before them."""
+    width = 2 if not len(places) or (places.min() >= -(1 << 15) and places.max() < 1 << 15) else 4
+    return bytes([width]) + zlib.compress(places.astype(f"<i{width}").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), dtype=f"<i{data[0]}")
+
+
 def sequences(b) -> Iterator[np.ndarray]:
     """The classes of each row's tokens, from seq (a class, or -1 less the place of a far word), and the far words' places and classes."""
     for seq, at, cls in zip(b.column(0), b.column(1), b.column(2), strict=True):
-        s = np.frombuffer(zlib.decompress(seq.as_py()), dtype="<i4").astype(np.int64)
+        s = unpacked(seq.as_py()).astype(np.int64)
         if at.is_valid:
             by = np.zeros(len(at), dtype=np.int64)
             by[at.values.to_numpy()] = cls.values.to_numpy()
@@ -318,23 +331,32 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, classes:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hasher, m, row = ShapeHasher(), held.value, TaskContext.get().partitionId() * step
+        m, row = held.value, TaskContext.get().partitionId() * step
         for b in batches:
             cols: list[list] = [[] for _ in range(8)]
-            for t in b.column(1):
-                tokens = token_hashes(hasher, t.as_py())
-                words, inverse, times = np.unique(tokens, return_inverse=True, return_counts=True)
+            for bounds, tokens in tokens_of(b.column(1)):
+                rows = len(bounds) - 1
+                found = [np.unique(tokens[x:y], return_inverse=True, return_counts=True) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                words, times = (np.concatenate([f[i] for f in found]) for i in (0, 2))
+                ends = np.cumsum([len(f[0]) for f in found])
+                whose = np.repeat(np.arange(rows), np.diff(ends, prepend=0))
                 at = m.held.find(words)
                 near = at >= 0
                 c, cls = (x[at[near]] for x in m.held.values) if near.any() else (np.empty(0), np.empty(0, np.int64))
-                base_sum = float((np.log10((c + 1) / (n + v + 1)) * times[near]).sum())
-                model_sum = float((np.log10((c - np.where(cls >= m.first_shape, m.discount, 0)) / m.class_total[cls]) * times[near]).sum())
-                place = np.empty(len(words), dtype="<i4")
-                place[near], place[~near] = cls, -1 - np.arange(int((~near).sum()))
-                seq = zlib.compress(place[inverse].tobytes(), 1)
-                for col, x in zip(cols, (row, len(tokens), int(times[near].sum()), base_sum, model_sum, seq, words[~near].view(np.int64), times[~near]), strict=True):
-                    col.append(x)
-                row += 1
+                by, k_ = whose[near], times[near]
+                base = np.bincount(by, weights=np.log10((c + 1) / (n + v + 1)) * k_, minlength=rows)
+                own = np.bincount(by, weights=np.log10((c - np.where(cls >= m.first_shape, m.discount, 0)) / m.class_total[cls]) * k_, minlength=rows)
+                known = np.bincount(by, weights=k_, minlength=rows).astype(np.int64)
+                # a near word's class, or -1 less a far word's place among the far ones of its text
+                far_at = np.cumsum(~near)
+                place = np.empty(len(words), dtype=np.int64)
+                place[near], place[~near] = cls, -far_at[~near] + np.concatenate([[0], far_at[ends - 1]])[whose[~near]]
+                for i, (x, y) in enumerate(zip((ends - np.diff(ends, prepend=0)).tolist(), ends.tolist(), strict=True)):
+                    other = ~near[x:y]
+                    seq = packed(place[x:y][found[i][1]])
+                    for col, value in zip(cols, (row, len(found[i][1]), int(known[i]), float(base[i]), float(own[i]), seq, words[x:y][other].view(np.int64), times[x:y][other]), strict=True):
+                        col.append(value)
+                    row += 1
             sizes = np.cumsum([0, *map(len, cols[6])])
             far = [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *x]), pa.int64())) for x in cols[6:]]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())

@@ -6,6 +6,7 @@ import shutil
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,11 +73,6 @@ def fold_of(doc_id: int | None, modulus: int) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % modulus
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words of a text with A-Z in lower case; bytes.split parts exactly at space and U+0009 to U+000D."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser over unsigned 64-bit integers (the public splitmix64 one)."""
     x = x.astype(np.uint64, copy=True)
@@ -89,22 +85,83 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHasher(dict):
-    """64-bit hashes of words, as the eight bytes kept by word; emptied when it reaches its size bound."""
-
-    def __init__(self, limit: int = 400_000) -> None:
-        import xxhash
-
-        self.limit, self.digest = limit, xxhash.xxh3_64_intdigest
-
-    def hash_of(self, word: bytes) -> int:
-        return self.digest(word)
-
-    def __missing__(self, word: bytes) -> bytes:
-        value = self[word] = self.hash_of(word).to_bytes(8, "little")
-        return value
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u8")
+#: Bytes of texts that are hashed at once, and the longest word that is hashed eight bytes at a time.
+HASHED_BYTES, LONG_WORD = 1 << 22, 256
+_IS_WORD = np.ones(256, dtype=bool)
+_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+_LOWEST = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
+def _hash_bytes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of data (which ends with eight spare bytes) at starts."""
+    import xxhash
+
+    eights = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    h = mix64(lengths.astype(np.uint64) + (eights[starts] & _LOWEST[np.minimum(lengths, 8)]) * _ODD)
+    more, at = np.flatnonzero(lengths > 8), 8
+    while len(more):
+        rest = lengths[more] - at
+        h[more] = mix64((h[more] ^ (eights[starts[more] + at] & _LOWEST[np.minimum(rest, 8)])) * _ODD)
+        more, at = more[rest > 8], at + 8
+        if at >= LONG_WORD:
+            for i in more.tolist():
+                h[i] = xxhash.xxh3_64_intdigest(data[int(starts[i]) : int(starts[i] + lengths[i])])
+            break
+    return h
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashed(texts, lower: bool = True, shaped: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """64-bit hashes of the words of an Arrow column of texts (null: none), for some rows at a time: (bounds, hashes), where row i of them has bounds[i] to bounds[i + 1].
+
+    lower: with A-Z in lower case. shaped: the five lowest bits tell a word's length and last byte instead.
+    """
+    import pyarrow as pa
+
+    texts = texts.cast(pa.large_string()).fill_null("") if len(texts) else texts
+    at = 0
+    while at < len(texts):
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset + at : texts.offset + len(texts) + 1]
+        rows = max(1, int(np.searchsorted(offsets, offsets[0] + HASHED_BYTES, side="right")) - 1)
+        offsets = offsets[: rows + 1]
+        at += rows
+        data = b"" if texts.buffers()[2] is None else texts.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes()
+        if lower:
+            data = data.lower()
+        data += bytes(8)
+        edges = offsets - offsets[0]
+        inner = _IS_WORD[np.frombuffer(data, dtype=np.uint8, count=len(data) - 8)]
+        # a word begins where its run or its row begins, and ends likewise
+        after = np.zeros(len(inner) + 1, dtype=bool)
+        after[1:] = ~inner
+        after[edges] = True
+        starts = np.flatnonzero(inner & after[:-1])
+        before = np.ones(len(inner) + 1, dtype=bool)
+        before[:-1] = ~inner
+        before[edges] = True
+        ends = np.flatnonzero(inner & before[1:]) + 1
+        h = _hash_bytes(data, starts, ends - starts)
+        if shaped:
+            last = np.frombuffer(data, dtype=np.uint8)[ends - 1]
+            h = h & ~np.uint64(31) | (np.minimum(ends - starts, 15) // 4 * 8 + last % 8).astype(np.uint64)
+        yield np.searchsorted(starts, edges), h
+
+
+def hashes_of(words: list[bytes], lower: bool = True, shaped: bool = False) -> np.ndarray:
+    """The hashes of some words."""
+    import pyarrow as pa
+
+    return np.concatenate([np.empty(0, np.uint64), *(h for _, h in hashed(pa.array([b" ".join(words).decode()]), lower, shaped))])
+
+
+def framed(bounds: np.ndarray, words: np.ndarray, start: np.uint64, starts: int, end: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """hashed()'s bounds and hashes with so many start marks before each row's words, and an end mark after them."""
+    new = bounds + (starts + 1) * np.arange(len(bounds))
+    out, own = np.empty(len(words) + (starts + 1) * (len(bounds) - 1), dtype=np.uint64), np.ones(len(words) + (starts + 1) * (len(bounds) - 1), dtype=bool)
+    for i in range(starts):
+        out[new[:-1] + i], own[new[:-1] + i] = start, False
+    out[new[1:] - 1], own[new[1:] - 1] = end, False
+    out[own] = words
+    return new, out

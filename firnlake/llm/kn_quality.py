@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, fold, materialize, mix64, restored, shielded, small
+from .common import fold, framed, hashed, materialize, mix64, restored, shielded, small
 from .lookup import Table
 
 #: Values of n-grams that the tasks hold.
@@ -40,9 +40,10 @@ def key_of(*words: np.ndarray) -> np.ndarray:
     return mix64(total)
 
 
-def sequence_of(hasher: WordHasher, text: str | None) -> np.ndarray:
-    """Two start marks, the words (case kept) and the end mark."""
-    return np.concatenate([[START, START], hasher(text.encode("utf-8", "surrogatepass").split() if text else []), [END]]).astype(np.uint64)
+def sequences(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bounds, hashes) of some rows of an Arrow column of texts at a time: of each text two start marks, the words (case kept) and the end mark."""
+    for bounds, words in hashed(texts, lower=False):
+        yield framed(bounds, words, START, 2, END)
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -62,11 +63,13 @@ def trigram_counts(rows: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for b in batches:
-            seqs = [s for s in (sequence_of(hasher, t.as_py()) for t in b.column(0)) if len(s) > 3]
-            if seqs:
-                u, v, w = (np.concatenate([s[i : len(s) - 2 + i] for s in seqs]) for i in range(3))
+            for bounds, s in sequences(b.column(0)):
+                inner = np.ones(len(s), dtype=bool)
+                inner[bounds[1:] - 1] = inner[bounds[1:] - 2] = False
+                inner[bounds[:-1][np.diff(bounds) == 3]] = False  # texts without words
+                at = np.flatnonzero(inner)
+                u, v, w = (s[at + i] for i in range(3))
                 _, first, c = np.unique(key_of(u, v, w), return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)) for x in (u, v, w)] + [pa.array(c, pa.int64())], ["u", "v", "w", "c"])
 
@@ -175,24 +178,23 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     unknown = float(np.log10(model.unknown))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = WordHasher(), held.value
+        table = held.value
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                seqs = [sequence_of(hasher, t.as_py()) for t in part.column(2)]
+            done = 0
+            for bounds, s in sequences(b.column(2)):
+                n = len(bounds) - 1
+                part, done = b.slice(done, n), done + n
+                row = np.repeat(np.arange(n), np.diff(bounds))
+                # n-grams that end at each place but the first, and those that end two after the start
+                two, three = np.flatnonzero(row[1:] == row[:-1]) + 1, np.flatnonzero(row[2:] == row[:-2]) + 2
+                keys = np.concatenate([key_of(s[two]), key_of(s[two - 1], s[two]), key_of(s[three - 2], s[three - 1], s[three])])
+                rows = np.concatenate([row[two], row[two], row[three]])
+                at = table.find(keys)
                 # by document: a row of what is known here, under a key of its own, and a row of each other n-gram
-                keys, rows, near = [], [], []
-                for i, s in enumerate(seqs):
-                    own = np.concatenate([key_of(s[1:]), key_of(s[:-1], s[1:]), key_of(s[:-2], s[1:-1], s[2:])])
-                    found = table.find(own)
-                    near.append((len(s) - 2) * unknown + (float(table.values[0][found[found >= 0]].sum()) if len(table.keys) else 0.0))
-                    keys.append(own[found < 0])
-                    rows.append(np.full(len(keys[-1]), i))
-                far, rows_ = np.concatenate(keys), np.concatenate(rows)
-                n = len(seqs)
-                take = pa.array(np.concatenate([np.arange(n), rows_]))
-                tail = len(far)
-                sizes = np.array([len(s) - 2 for s in seqs])
+                sizes = np.diff(bounds) - 2
+                near = sizes * unknown + (np.bincount(rows[at >= 0], weights=table.values[0][at[at >= 0]], minlength=n) if len(table.keys) else 0.0)
+                far, whose = keys[at < 0], rows[at < 0]
+                take, tail = pa.array(np.concatenate([np.arange(n), whose])), len(far)
                 first = key_of(part.column(1).to_numpy().view(np.uint64), np.arange(n, dtype=np.uint64))
                 columns = [part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate([first, far]).view(np.int64)), pa.array(np.concatenate([sizes, np.zeros(tail, np.int64)])), pa.array(np.concatenate([near, np.zeros(tail)]))]
                 yield pa.RecordBatch.from_arrays(columns, ["_doc", "_text", "key", "size", "near"])

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, materialize, mix64, restored, shielded, small, words_of
+from .common import hashed, materialize, mix64, restored, shielded, small
 from .components import components
 from .lookup import Table
 
@@ -52,29 +52,26 @@ DEALT, RUN_BYTES, RECENT = 500, 1 << 26, 64
 PAIRS, TILE = 1 << 18, 1 << 21
 
 
-class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts."""
-
-    def __init__(self, k: int) -> None:
-        self.k, self.hasher = k, WordHasher()
-        self.odd = mix64(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        return self.with_words(text)[0]
-
-    def with_words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The set, each shingle's first place in the text, and the hashes of the words."""
-        w = self.hasher(words_of(text))
-        n = len(w)
-        if not n:
-            return w, np.empty(0, dtype=np.int64), w
-        if n < self.k:
-            return mix64(np.array([(w * self.odd[:n]).sum(dtype=np.uint64) + np.uint64(n)], dtype=np.uint64)), np.zeros(1, dtype=np.int64), w
-        h = np.zeros(n - self.k + 1, dtype=np.uint64)
-        for j in range(self.k):
-            h += w[j : n - self.k + 1 + j] * self.odd[j]
-        s, first = np.unique(mix64(h), return_index=True)
-        return s, first, w
+def shingled(texts, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text of an Arrow column its sorted distinct 64-bit shingle hashes, each one's first place in the text, and the hashes of its words."""
+    odd = mix64(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
+    for bounds, words in hashed(texts):
+        h = np.zeros(max(0, len(words) - k + 1), dtype=np.uint64)
+        for j in range(k):
+            h += words[j : j + len(h)] * odd[j]
+        h = mix64(h)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            w = words[a:b]
+            if b - a >= k:
+                own = h[a : b - k + 1]
+                order = np.argsort(own, kind="stable")
+                s = own[order]
+                new = np.concatenate([[True], s[1:] != s[:-1]])
+                yield s[new], order[new], w
+            elif b > a:
+                yield mix64(np.array([(w * odd[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)], dtype=np.uint64)), np.zeros(1, dtype=np.int64), w
+            else:
+                yield w, np.empty(0, dtype=np.int64), w
 
 
 def order_of(s: np.ndarray, first: np.ndarray, w: np.ndarray, k: int, frequent: np.ndarray, words: Table) -> np.ndarray:
@@ -235,9 +232,8 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray,
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(k)
         for b in batches:
-            found = [shingle.with_words(t.as_py()) for t in b.column(0)]
+            found = list(shingled(b.column(0), k))
             for kind, which, least in ((0, 0, max(4, len(found) // 250)), (1, 2, 4)):
                 if found:
                     h, c = np.unique(np.concatenate([f[which] for f in found]), return_counts=True)
@@ -310,9 +306,8 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
         return np.where(frequent[spot] == first, counts[spot] // DEALT + 1, 1).astype(np.uint64)
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(k)
         for b in batches:
-            found = [shingle(t.as_py()) for t in b.column(1)]
+            found = [s for s, _, _ in shingled(b.column(1), k)]
             first = np.array([s[0] if len(s) else 0 for s in found], dtype=np.uint64)
             ids = np.array([x or 0 for x in b.column(0).to_pylist()], dtype=np.int64).view(np.uint64)
             deal = first + mix64(ids) % deals(first)
@@ -328,7 +323,7 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
         import xxhash
         from pyspark import TaskContext
 
-        shingle, (frequent, _, words) = Shingler(k), common.value
+        frequent, _, words = common.value
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
         row = TaskContext.get().partitionId() << 33
 
@@ -354,8 +349,7 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
 
         def documents() -> Iterator[tuple]:
             for b in batches:
-                for doc, text, first in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                    s, places, w = shingle.with_words(text.as_py())
+                for doc, first, (s, places, w) in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), shingled(b.column(1), k), strict=True):
                     prefix = None
                     if len(s):
                         need = len(s) + (-percent * len(s)) // 100 + 1  # n - ceil(t n) + 1
@@ -641,12 +635,11 @@ def verify(docs: DataFrame, blocks: DataFrame, k: int, percent: int) -> DataFram
     texts = texts.select("doc_id", "label", "block", "tiles", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, names = Shingler(k), ["tile", "label", "part", "s"]
+        names = ["tile", "label", "part", "s"]
         for b in batches:
             rows: list[tuple] = []
             weight = 0
-            for doc, label, block, tiles, text in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4), strict=True):
-                s = shingle(text.as_py())
+            for doc, label, block, tiles, (s, _, _) in zip(*(b.column(i).to_pylist() for i in range(4)), shingled(b.column(4), k), strict=True):
                 if not len(s):
                     continue
                 mine = int(mix64(np.array([doc, len(s)], dtype=np.int64).view(np.uint64))[0]) % tiles

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import firnlake.llm.brown_lm as brown
 import firnlake.llm.ngram_join as join
 from firnlake.llm import decontam, kn_quality, licenses, mixing, pii, quality_rules, simple8b, toxicity
+from firnlake.llm.common import hashed, hashes_of
 from firnlake.llm.components import components
 from firnlake.llm.lookup import Table
 
@@ -81,6 +82,33 @@ def test_stages_keep_columns_of_any_name(spark):
         out.collect()
 
 
+# ---- words
+
+
+def test_hashed_words_are_those_of_each_text(monkeypatch):
+    import pyarrow as pa
+
+    import firnlake.llm.common as common
+
+    monkeypatch.setattr(common, "HASHED_BYTES", 64)
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("aBcdé😀 \n\x0b\x1c\xa0") for _ in range(rng.randint(0, 30))) for _ in range(300)] + [None, "", "x" * 1000, "y" * 300 + " " + "y" * 300 + "z", "ABCDEFGH abcdefgh", " "]
+    for lower in (True, False):
+        seen, at = {}, 0
+        column = pa.array(["skipped", *texts]).slice(1)
+        for bounds, h in hashed(column, lower):
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                words = (texts[at] or "").encode().split()
+                assert b - a == len(words)
+                for w, x in zip(words, h[a:b].tolist()):
+                    assert seen.setdefault(w.lower() if lower else w, x) == x
+                at += 1
+        assert at == len(texts) and len(set(seen.values())) == len(seen)
+    assert next(iter(hashed(pa.array([], pa.string()))), None) is None
+    shape = hashes_of([b"abc", b"abcdefghijklmnopqrst"], shaped=True) & np.uint64(31)
+    assert shape.tolist() == [ord("c") % 8, 24 + ord("t") % 8]
+
+
 # ---- 1: similarity join
 
 
@@ -325,8 +353,8 @@ def test_words_outside_the_core_are_clustered_and_scored(spark, monkeypatch):
     left, right = [f"l{i}" for i in range(12)], [f"r{i}" for i in range(12)]  # the two always alternate
     rows = [(i, " ".join(rng.choices(x, range(13, 1, -1))[0] for _ in range(15) for x in (left, right))) for i in range(200)] + [(500, "l1 once l2 unseen")]
     model, words = brown.fit(frame(spark, rows), classes=2)
-    hasher, of = brown.ShapeHasher(), {r.h: r.cls for r in words.collect()}
-    got = [[of[int(hasher([w.encode()]).view(np.int64)[0])] for w in x] for x in (left, right)]
+    of = {r.h: r.cls for r in words.collect()}
+    got = [[of[h] for h in hashes_of([w.encode() for w in x], shaped=True).view(np.int64).tolist()] for x in (left, right)]
     assert len(words.filter("c > 1 AND cls >= 2").collect()) == 0
     assert len(set(got[0])) == 1 and len(set(got[1])) == 1 and got[0][0] != got[1][0]
     out = {r.doc_id: r for r in brown.brown_scores(frame(spark, rows), classes=2).collect()}
@@ -336,7 +364,7 @@ def test_words_outside_the_core_are_clustered_and_scored(spark, monkeypatch):
     k = len(model.steps)
 
     def classes(t):
-        h = brown.token_hashes(hasher, t)
+        h = np.append(hashes_of(t.encode().split(), shaped=True), brown.END)
         return [of.get(int(x), (0, 2 + int(x) % 32)) for x in h.view(np.int64)]
 
     joint = np.zeros((k, k))
@@ -473,8 +501,7 @@ def test_words_whose_lower_case_has_marks():
 
 def test_kneser_ney_sums_to_one(spark):
     model = kn_quality.train(spark.createDataFrame([("a b a c",), ("a b b a",), ("c a b",)], "text string"))
-    hasher = kn_quality.WordHasher()
-    words = [*hasher([b"a", b"b", b"c", b"zz"]), kn_quality.END]
+    words = [*hashes_of([b"a", b"b", b"c", b"zz"], lower=False), kn_quality.END]
     for u in words[:3]:
         for v in words[:3]:
             p = 10 ** model.log10(*(np.array(x, dtype=np.uint64) for x in ([u] * 5, [v] * 5, words)))
