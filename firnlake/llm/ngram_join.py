@@ -95,7 +95,7 @@ def point(s: np.ndarray) -> np.ndarray:
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """Rows of point()'s bytes as counts by fewer groups."""
     wide = np.where(points == 255, 1 << 20, points.astype(np.int32))
-    return wide.reshape(len(points), -1, groups).sum(1, dtype=np.int32)
+    return wide.reshape(len(points), points.shape[1] // groups, groups).sum(1, dtype=np.int32)
 
 
 class Points:

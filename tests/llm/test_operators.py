@@ -159,6 +159,10 @@ def test_bounds_never_drop_a_link():
         if join.links(a, b, 85):
             bound = join.Points([join.point(x).tobytes() for x in (a, b)]).bound(np.array([0]), np.array([1]))[0]
             assert bound >= len(np.intersect1d(a, b)) and 185 * bound >= 85 * (len(a) + len(b))
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (10, 3000, 20, 700)]
+    points = join.Points([join.point(x).tobytes() for x in sets])
+    for rows in ([0, 2], [1, 3], [3, 0, 1], []):
+        assert points.coarse(np.array(rows, dtype=np.int64)).sum(1).tolist() == [len(sets[r]) for r in rows]
     same = np.arange(1000, dtype=np.uint64) << np.uint64(20)  # all in one group, beyond what a byte counts
     assert join.Points([join.point(same).tobytes()] * 2).bound(np.array([0]), np.array([1]))[0] >= 1000
 
