@@ -14,6 +14,7 @@ from .operators import maintenance as _maintenance
 from .operators.ddl import Ddl
 from .operators.rowops import Merge, RowOps
 from .operators.write import Writer
+from .sources.frame import LakeFrame
 from .sources.metastore import Metastore, Snapshot, seen
 from .sources.scan import Scanner, TableInfo
 from .sources.ship import ship
@@ -89,9 +90,9 @@ class Lake:
     # ---- reading
 
     def read(self, name: str, version: int | str | None = None, timestamp: Any = None, where: str | Column | None = None) -> DataFrame:
-        """The table's rows. where chooses files by the catalog's statistics and filters the rows; conditions put on the
-        returned frame still reach Parquet's row groups."""
-        return self.scanner.read(self.table(name, version, timestamp), where)
+        """The table's rows. where, and any filter put on the returned frame, chooses files by the catalog's statistics; see sources.frame."""
+        df = LakeFrame(self.scanner, self.table(name, version, timestamp))
+        return df if where is None else df.filter(where)
 
     def count(self, name: str, version: int | str | None = None, timestamp: Any = None) -> int:
         """Rows, from the catalog alone."""

@@ -247,9 +247,9 @@ class Scanner:
         df = self.spark.createDataFrame(rows, schema)
         return df if positions else df.drop(FILE, POS)
 
-    def read(self, t: TableInfo, where: str | Column | None = None, positions: bool = False) -> DataFrame:
-        """The table's rows; where chooses files and is applied to the rows."""
-        df = self.rows_of(t, self.plan(t, where).files, positions)
+    def read(self, t: TableInfo, where: str | Column | None = None, positions: bool = False, files: list[DataFile] | None = None) -> DataFrame:
+        """The table's rows; where chooses files and is applied to the rows. files: those that were chosen before."""
+        df = self.rows_of(t, self.plan(t, where).files if files is None else files, positions)
         inline = self.inlined(t, positions=positions)
         if inline is not None:
             df = inline if df is None else df.unionByName(inline)
