@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -13,11 +16,15 @@ from pyspark.sql import functions as F
 from ..errors import AlreadyExistsError, ColumnNotFoundError, ConcurrentModificationError, ConstraintError, SchemaMismatchError
 from ..functions.values import decode, encode, is_scalar, literal_sql
 from ..sources.metastore import Metastore, Snapshot, Transaction, seen
-from ..sources.paths import footers, list_parquet, qualify_all, remove
+from ..sources.paths import described, footers, list_parquet, qualified, qualify_all, remove, write_bytes
 from ..sources.scan import FILE, INLINE, POS, Scanner, TableInfo
 
+#: A frame that has at most so many rows by its plan, and about so many bytes, is written by the driver as one file, without a Spark write job.
+DIRECT_ROWS, DIRECT_BYTES = 100_000, 64 << 20
 #: Partition value of nulls.
 NULL = "__NULL__"
+#: What the error of a null says before the column's name.
+NOT_NULL = "firnlake: null in the column that must not have one:"
 
 
 @dataclass
@@ -32,9 +39,23 @@ class Written:
         return sum(f["rows"] for *_, f in self.files)
 
 
+@contextmanager
+def not_null() -> Iterator[None]:
+    """Tells the error of a written null, which checked() raises in the plan, as ConstraintError."""
+    try:
+        yield
+    except Exception as e:
+        text = str(e)
+        if NOT_NULL in text:
+            said = re.search(re.escape(NOT_NULL) + r"[^\n]*", text)[0]
+            raise ConstraintError(said.partition(" SQLSTATE:")[0].removeprefix("firnlake: ")) from e
+        raise
+
+
 class Writer:
     def __init__(self, spark: SparkSession, store: Metastore, scanner: Scanner) -> None:
         self.spark, self.store, self.scanner = spark, store, scanner
+        self._local: bool | None = None  # is the data path on the driver's own file system
 
     # ---- files
 
@@ -78,6 +99,54 @@ class Writer:
             remove(self.spark, target)
         return out
 
+    def write_direct(self, df: DataFrame, t: TableInfo) -> Written | None:
+        """df (as it was given) as one file that the driver writes; None if df may be large, or the table is partitioned or nested."""
+        if t.partition_by or not all(is_scalar(c.spark_type) for c in t.columns):
+            return None
+        plan = df._jdf.queryExecution().optimizedPlan()
+        most = plan.maxRows()
+        if most.isEmpty() or most.get() > DIRECT_ROWS or int(str(plan.stats().sizeInBytes())) > DIRECT_BYTES:
+            return None
+        if [(f.name, f.dataType) for f in df.schema.fields] != [(c.name, c.spark_type) for c in t.columns]:
+            df = self.align(df, t)
+        folder = f"{t.path}{uuid.uuid4().hex}"
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        rows = df.toArrow()
+        if not rows.num_rows:
+            return Written(folder)
+        rows = rows.cast(pa.schema([f.with_metadata({"PARQUET:field_id": str(c.column_id)}) for f, c in zip(rows.schema, t.columns, strict=True)]))
+        if null := [n for n in sorted(self.required(t)) if rows[n].null_count]:
+            raise ConstraintError(f"{NOT_NULL} {null[0]}".removeprefix("firnlake: "))
+        sink = pa.BufferOutputStream()
+        # bounds that this writer gives leave NaN out, which is the largest value to Spark: such a column gets none
+        nan = {f.name for f in rows.schema if pa.types.is_floating(f.type) and pc.any(pc.is_nan(rows[f.name])).as_py()}
+        pq.write_table(rows, sink, compression="snappy", write_statistics=[n for n in rows.column_names if n not in nan])
+        data = sink.getvalue()
+        found = described(pq.ParquetFile(pa.BufferReader(data)), folder, {c.name: c.type for c in t.columns})
+        for n in nan:
+            found["stats"][n] = [rows.num_rows - rows[n].null_count, rows[n].null_count, None, None, True]
+        name = f"{folder}/part-0.parquet"
+        try:
+            self._put(self.store.data_path + name, data)
+        except BaseException:
+            remove(self.spark, self.store.data_path + folder)
+            raise
+        return Written(folder, [(name, len(data), found)])
+
+    def _put(self, path: str, data: Any) -> None:
+        if self._local is None:
+            self._local = qualified(self.spark, self.store.data_path).startswith("file:")
+        if not self._local:
+            write_bytes(self.spark, path, bytes(data))
+            return
+        path = re.sub(r"^file:/+", "/", path)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "xb") as f:
+            f.write(data)
+
     def discard(self, *written: Written | str) -> None:
         for w in written:
             remove(self.spark, self.store.data_path + (w if isinstance(w, str) else w.folder))
@@ -122,12 +191,12 @@ class Writer:
         tx.add("table_stats", table_id=t.table_id, record_count=stats["record_count"] + sum(f["rows"] for *_, f in files), next_row_id=row_id, file_size_bytes=stats["file_size_bytes"] + sum(s for _, s, _ in files))
 
     def end_all(self, tx: Transaction, t: TableInfo, at: int) -> None:
-        """Data files, delete files and inlined rows of the table end together; its statistics start anew."""
+        """Data files, delete files and inlined rows of the table end together; its counts start anew, but row ids go on."""
         for table in ("data_file", "delete_file"):
             tx.run(f"UPDATE {{{table}}} SET end_snapshot = ? WHERE table_id = ? AND end_snapshot IS NULL", (at, t.table_id))
         for r in tx.rows("SELECT table_name FROM {inlined_data_tables} WHERE table_id = ?", (t.table_id,)):
             tx.run(f'UPDATE "{r["table_name"]}" SET end_snapshot = ? WHERE end_snapshot IS NULL', (at,))
-        tx.run("UPDATE {table_stats} SET record_count = 0, next_row_id = 0, file_size_bytes = 0 WHERE table_id = ?", (t.table_id,))
+        tx.run("UPDATE {table_stats} SET record_count = 0, file_size_bytes = 0 WHERE table_id = ?", (t.table_id,))
 
     def guard(self, tx: Transaction, t: TableInfo, rows_too: bool) -> None:
         """Fail if a commit after t's snapshot dropped or altered the table or, with rows_too, changed its rows."""
@@ -143,13 +212,24 @@ class Writer:
         if rows_too and touched:
             raise ConcurrentModificationError(f"{t.schema}.{t.name} was changed by snapshots {touched} since {t.snapshot.snapshot_id}")
 
-    def check_rows(self, df: DataFrame, t: TableInfo) -> None:
-        """NOT NULL of columns and of constraints, in one pass."""
+    def required(self, t: TableInfo) -> set[str]:
+        """Columns that must not be null, by themselves or by a constraint."""
         names = {c.name for c in t.columns if not c.nullable}
         listed = self.store.rows(f"SELECT column_names FROM {{table_constraint}} WHERE table_id = ? AND upper(constraint_type) = 'NOT NULL' AND {seen(t.snapshot.snapshot_id)}", (t.table_id,))
-        names |= {t.column(n.strip()).name for r in listed for n in (r["column_names"] or "").split(",") if n.strip()}
-        if names and (bad := df.filter(" OR ".join(f"`{n}` IS NULL" for n in sorted(names))).limit(1).collect()):
-            raise ConstraintError(f"a column of {sorted(names)} must not be null: {bad[0]}")
+        return names | {t.column(n.strip()).name for r in listed for n in (r["column_names"] or "").split(",") if n.strip()}
+
+    def checked(self, df: DataFrame, t: TableInfo) -> DataFrame:
+        """df (aligned), which fails where a required column is null: in the plan that is written, not before it."""
+        names = self.required(t)
+        if not names:
+            return df
+        out = []
+        for f in df.schema.fields:
+            value = F.col(f"`{f.name}`")
+            if f.name in names:
+                value = F.coalesce(value, F.raise_error(F.lit(f"{NOT_NULL} {f.name}")).cast(f.dataType)).alias(f.name, metadata=f.metadata)
+            out.append(value)
+        return df.select(*out)
 
     # ---- operators
 
@@ -159,13 +239,17 @@ class Writer:
         inline_limit: rows of the table that may be kept in the catalog; a table that stays within it gets no file. extra: a mark
         kept with the commit. skip: asked inside the transaction; if true, nothing is committed.
         """
-        df = self.align(df, t)
-        self.check_rows(df, t)
+        given, df = df, None
         if inline_limit and not replace and not t.partition_by and all(is_scalar(c.spark_type) for c in t.columns):
-            rows = df.limit(inline_limit + 1).collect()  # at most inline_limit rows are kept
+            df = self.checked(self.align(given, t), t)
+            with not_null():
+                rows = df.limit(inline_limit + 1).collect()  # at most inline_limit rows are kept
             if len(rows) + self.inlined_count(t) <= inline_limit:
                 return self.inline(t, rows, message, extra) if rows else None
-        written = self.write_files(df, t, files)
+        written = self.write_direct(given, t) if files in (None, 1) else None
+        if written is None:
+            with not_null():
+                written = self.write_files(self.checked(self.align(given, t), t) if df is None else df, t, files)
         if not written.files and not replace:
             return None
 
@@ -226,9 +310,9 @@ class Writer:
         written = None
         try:
             if rows is not None:
-                rows = self.align(rows, t)
-                self.check_rows(rows, t)
-                written = self.write_files(rows, t)
+                rows = self.checked(self.align(rows, t), t)
+                with not_null():
+                    written = self.write_files(rows, t)
         except BaseException:
             if folder:
                 self.discard(folder)

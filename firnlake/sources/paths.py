@@ -66,6 +66,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(_fs(spark, path).exists(_path(spark, path)))
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A new file of data, with the folders above it."""
+    out = _fs(spark, path).create(_path(spark, path), False)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
 def _open(path: str) -> Any:
     import pyarrow.parquet as pq
     from pyarrow import fs
@@ -84,33 +93,38 @@ def footer(path: str, types: dict[str, str]) -> dict:
     types: the catalog type of each column that statistics are wanted of.
     """
     with _open(path) as f:
-        meta, schema = f.metadata, f.schema_arrow
-        names = schema.names
-        ids = bool(names) and all((schema.field(i).metadata or {}).get(b"PARQUET:field_id") is not None for i in range(len(names)))
-        stats: dict[str, list] = {}
-        at = {meta.schema.column(i).path: i for i in range(meta.num_columns)} if meta.num_columns else {}
-        for name, kind in types.items():
-            if name not in at:
+        return described(f, path, types)
+
+
+def described(f: Any, path: str, types: dict[str, str]) -> dict:
+    """footer() of an open file."""
+    meta, schema = f.metadata, f.schema_arrow
+    names = schema.names
+    ids = bool(names) and all((schema.field(i).metadata or {}).get(b"PARQUET:field_id") is not None for i in range(len(names)))
+    stats: dict[str, list] = {}
+    at = {meta.schema.column(i).path: i for i in range(meta.num_columns)} if meta.num_columns else {}
+    for name, kind in types.items():
+        if name not in at:
+            continue
+        t, values, nulls, low, high, known = parse_type(kind), 0, 0, None, None, True
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(at[name]).statistics
+            rows = meta.row_group(g).num_rows
+            if s is None or not s.has_null_count:
+                values = nulls = None
+                known = False
+                break
+            values, nulls = values + rows - s.null_count, nulls + s.null_count
+            if rows == s.null_count:
+                continue
+            if not s.has_min_max or any(isinstance(x, float) and math.isnan(x) for x in (s.min, s.max)):
+                known = False
                 continue
-            t, values, nulls, low, high, known = parse_type(kind), 0, 0, None, None, True
-            for g in range(meta.num_row_groups):
-                s = meta.row_group(g).column(at[name]).statistics
-                rows = meta.row_group(g).num_rows
-                if s is None or not s.has_null_count:
-                    values = nulls = None
-                    known = False
-                    break
-                values, nulls = values + rows - s.null_count, nulls + s.null_count
-                if rows == s.null_count:
-                    continue
-                if not s.has_min_max or any(isinstance(x, float) and math.isnan(x) for x in (s.min, s.max)):
-                    known = False
-                    continue
-                low = s.min if low is None or s.min < low else low
-                high = s.max if high is None or s.max > high else high
-            real = isinstance(t, (T.FloatType, T.DoubleType))
-            stats[name] = [values, nulls, encode(low, t) if known else None, encode(high, t) if known else None, real and not known]
-        return {"path": path, "rows": meta.num_rows, "names": names, "ids": ids, "stats": stats}
+            low = s.min if low is None or s.min < low else low
+            high = s.max if high is None or s.max > high else high
+        real = isinstance(t, (T.FloatType, T.DoubleType))
+        stats[name] = [values, nulls, encode(low, t) if known else None, encode(high, t) if known else None, real and not known]
+    return {"path": path, "rows": meta.num_rows, "names": names, "ids": ids, "stats": stats}
 
 
 def footers(spark: SparkSession, paths: list[str], types: dict[str, str], local: int = 256) -> list[dict]:

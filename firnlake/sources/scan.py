@@ -19,6 +19,8 @@ FILE, POS = "__file", "__pos"
 INLINE = "inline:"
 #: Deleted positions up to this many are broadcast against the files that have deletes; more are joined by a shuffle.
 BROADCAST_DELETES = 1_000_000
+#: Files of the lists that are kept, about.
+KEPT_FILES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -124,6 +126,7 @@ class Scanner:
     def __init__(self, spark: SparkSession, store: Metastore) -> None:
         self.spark, self.store = spark, store
         self._tables: dict[tuple[str, int], TableInfo] = {}
+        self._files: dict[tuple[int, int], list[DataFile]] = {}
         spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
         spark.conf.set("spark.sql.parquet.fieldId.write.enabled", "true")
         spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
@@ -148,7 +151,13 @@ class Scanner:
             rows = tx.rows(f"SELECT * FROM {{data_file}} WHERE table_id = ? AND {seen(at)} ORDER BY begin_snapshot, file_order, data_file_id", (t.table_id,))
             return [DataFile(r["data_file_id"], full_path(base, r["path"], r["path_is_relative"]), r["record_count"], r["file_size_bytes"] or 0, r["mapping_id"], r["begin_snapshot"], tuple(deletes.get(r["data_file_id"], ()))) for r in rows]
 
-        return self.store.read(query)
+        key = (t.table_id, t.snapshot.snapshot_id)
+        if key not in self._files:
+            found = self.store.read(query)
+            if sum(map(len, self._files.values())) + len(found) > KEPT_FILES:
+                self._files.clear()
+            self._files[key] = found
+        return self._files[key]
 
     def zones(self, t: TableInfo, names: set[str]) -> dict[int, dict[str, Zone]]:
         """Statistics of the named columns by file; a partition value stands in for missing ones."""

@@ -307,3 +307,40 @@ def test_a_catalog_keeps_its_own_prefix(spark, tmp_path):
     assert Lake(spark, path, create=False).table("t").name == "t"
     with pytest.raises(LakeError):
         Lake(spark, str(tmp_path / "none.db"), create=False)
+
+
+def test_small_frames_are_written_by_the_driver(lake, monkeypatch):
+    import firnlake.operators.write as write
+    from firnlake.plans.sqlfront import _parts
+
+    lake.create_table("s", "a long, b double, c string, d decimal(10,2), e date, f timestamp, g boolean, h binary, i float, j timestamp_ntz")
+    sql = "id AS a, CASE WHEN id = 3 THEN double('NaN') ELSE id / 2 END AS b, concat('é', id) AS c, CAST(id AS decimal(10,2)) AS d, date_add(date'2020-01-01', CAST(id AS int)) AS e, timestamp_seconds(id) AS f, id = 2 AS g, CAST('x' AS binary) AS h, CAST(id + 1 AS float) AS i, timestamp_ntz'2020-01-01 00:00:00' AS j"
+    df = lake.spark.range(0, 10).selectExpr(*_parts(sql))
+    lake.append(df, "s")
+    small = lake.files("s").collect()
+    assert len(small) == 1 and small[0].path.endswith("part-0.parquet") and small[0].record_count == 10
+    monkeypatch.setattr(write, "DIRECT_ROWS", 0)
+    lake.create_table("u", "a long, b double, c string, d decimal(10,2), e date, f timestamp, g boolean, h binary, i float, j timestamp_ntz")
+    lake.append(df.coalesce(1), "u")
+    assert sorted(map(str, lake.read("s").collect())) == sorted(map(str, lake.read("u").collect()))
+    stats = [{r.column_name: (r.value_count, r.null_count, r.min_value, r.max_value, r.contains_nan) for r in lake.column_stats(n).collect()} for n in ("s", "u")]
+    assert stats[0] == stats[1] and stats[0]["b"][2:] == (None, None, True) and stats[0]["a"] == (10, 0, "0", "9", False)
+    assert lake.read("s").filter("b > 100").count() == 1  # NaN is the largest
+
+
+def test_row_ids_go_on_after_an_overwrite(lake):
+    lake.create_table("r", "a long")
+    lake.append(lake.spark.range(5).toDF("a"), "r")
+    lake.overwrite(lake.spark.range(3).toDF("a"), "r")
+    assert [r["row_id_start"] for r in lake.store.rows("SELECT row_id_start FROM {data_file} ORDER BY data_file_id")] == [0, 5]
+
+
+def test_null_is_refused_in_the_written_plan(lake):
+    from pyspark.sql import functions as F
+
+    lake.create_table("n", "a long not null, b string")
+    big = lake.spark.range(0, 300_000).select(F.when(F.col("id") != 250_000, F.col("id")).alias("a"))
+    for df in (big, big.filter("a IS NULL")):
+        with pytest.raises(ConstraintError, match="a$"):
+            lake.append(df, "n")
+    assert lake.count("n") == 0 and not lake.files("n").collect()
