@@ -239,36 +239,68 @@ def test_more_spans_are_added_and_base_ones_stay(spark):
 # ---- 3: licences
 
 
-def test_license_cosine_equals_brute_force(spark):
-    notices = [t for ts in licenses.TEMPLATES.values() for t in ts]
-    rows = [(i, f"Some words. {t}\nlast line of it") for i, t in enumerate(notices)] + [(500, "the of and license"), (501, "plain prose")]
-    files = frame(spark, rows).select(F.col("doc_id").cast("string").alias("path"), "text")
-    df, n = licenses.document_frequencies(files)
-    vocabulary = licenses.VOCABULARY
-    assert n == len(rows) and df == {w: c for w in vocabulary if (c := sum(w in licenses.words(t) for _, t in rows))}
-    scorer = licenses.Scorer(df, n)
-    for r in licenses.scan(files).collect():
-        best = max(scorer.best(s) for s in licenses._SENTENCE.split(dict(rows)[int(r.path)]))
-        assert (r.license is not None) == (best[0] >= 0.6)
-        assert abs(r.cosine - (best[0] if best[0] >= 0.6 else 0)) < 1e-9
-
-
-def test_license_cosine_uses_the_df_of_all_words(spark):
-    texts = ["The everyday useful work is licensed under CC BY 4.0", "everyday useful all rights reserved", *["the everyday useful work is by under"] * 300]
-    df = collections.Counter(w for t in texts for w in set(licenses.words(t)))
+def brute_license(texts):
+    """Licence and cosine of each text: every unit, written out by hand, against every template, with the df of all words."""
+    word = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
+    df = collections.Counter(w for t in texts for w in set(word.findall(t.lower())))
+    templates = [(n, t) for table in (licenses.TEMPLATES, licenses.TEXTS) for n, ts in table.items() for t in ts]
 
     def vector(t):
-        return {w: c * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, c in collections.Counter(licenses.words(t)).items()}
+        return {w: c * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, c in collections.Counter(word.findall(t.lower())).items()}
 
     def cosine(x, y):
-        return sum(a * y.get(w, 0) for w, a in x.items()) / math.sqrt(sum(a * a for a in x.values()) * sum(a * a for a in y.values()))
+        return sum(a * y.get(w, 0) for w, a in x.items()) / (math.sqrt(sum(a * a for a in x.values()) * sum(a * a for a in y.values())) or 1)
+
+    vectors, out = [(n, vector(t)) for n, t in templates], []
+    for text in texts:
+        lines, groups = text.split("\n"), [[]]
+        for line in lines:
+            bare = line.strip(" \t\r#*/;%-")
+            if bare or line is lines[0] or line is lines[-1]:
+                groups[-1].append(line.strip().strip("#*/%").strip() if not line.startswith(";") else line.strip("; "))
+            else:
+                groups.append([])
+        paragraphs = [" ".join(g) for g in groups]
+        found = [s for x in lines for s in re.split(r"(?<=[.!?;])\W*\s+", x)] + [s for p in paragraphs for s in re.split(r"(?<=[.!?])\W*\s+", p)] + paragraphs + [" ".join(paragraphs)]
+        out.append(min((-round(cosine(vector(u), v), 7), n) for u in found for n, v in vectors))
+    return [(n, -c) if c <= -0.6 else (None, 0.0) for c, n in out]
+
+
+def test_license_cosine_equals_brute_force(spark):
+    notices = [t for table in (licenses.TEMPLATES, licenses.TEXTS) for ts in table.values() for t in ts]
+    texts = [f"Some words. {t}\nlast line of it" for t in notices] + ["the of and license", "plain prose", ""]
+    texts += ["# " + "\n# ".join(" ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9)) + "\n#\n# other words about it" for t in notices]
+    files = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, text string")
+    got = {int(r.path): r for r in licenses.scan(files).collect()}
+    for i, (name, cosine) in enumerate(brute_license(texts)):
+        assert got[i].license == name and abs(got[i].cosine - cosine) < 1e-6, texts[i]
+
+
+def test_wrapped_notices_and_licence_files_are_found(spark):
+    header = "/* This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public License\n * as published by the Free Software Foundation; either version 2\n * of the License, or (at your option) any later version.\n */\nint main() { return 0; }"
+    mit = licenses.TEXTS["MIT"][0].split()
+    whole = "Copyright (c) 2020 Some Body\n\n" + "\n".join(" ".join(mit[i : i + 10]) for i in range(0, len(mit), 10))
+    rows = [("a/main.c", header), ("a/other.c", "Licensed under the GNU General Public\nLicense, version 3"), ("b/terms.txt", whole), ("b/x/y.c", "code"), ("c/z.c", "code"), *((f"d/{i}", "everyday words of the public and a general work") for i in range(60))]
+    got = {r.path: r for r in licenses.license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["a/main.c"].license == "GPL-2.0" and got["a/other.c"].license == "GPL-3.0"
+    assert got["b/terms.txt"].license == "MIT" and got["b/terms.txt"].license_file and got["b/x/y.c"].effective_license == "MIT"
+    assert got["c/z.c"].effective_license is None and got["d/1"].license is None
 
+
+def test_license_cosine_uses_the_df_of_all_words(spark):
+    texts = ["The everyday useful work is licensed under CC BY 4.0", "everyday useful all rights reserved", *["the everyday useful work is by under"] * 300]
     files = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string")
     got = {r.path: r for r in licenses.scan(files).collect()}
     assert len(got) == len(texts) and got["f0"].license == "CC-BY-4.0" and got["f1"].license == "Proprietary" and got["f9"].license is None
-    for i in (0, 1):
-        best = max(cosine(vector(texts[i]), vector(t)) for ts in licenses.TEMPLATES.values() for t in ts)
-        assert math.isclose(got[f"f{i}"].cosine, best, abs_tol=1e-8)
+    for i, (_, cosine) in enumerate(brute_license(texts[:3] + texts[3:])[:2]):
+        assert math.isclose(got[f"f{i}"].cosine, cosine, abs_tol=1e-6)
+
+
+def test_ties_of_licences_take_the_first_name(spark):
+    rows = [("d/LICENSE", "All rights reserved"), ("d/COPYING", "Released under the MIT License"), ("d/x", "code"), ("e/COPYING", "Released under the MIT License"), ("e/LICENSE", "All rights reserved"), ("e/x", "code")]
+    got = {r.path: r for r in licenses.license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["d/LICENSE"].cosine == got["d/COPYING"].cosine == 1.0
+    assert got["d/x"].effective_license == got["e/x"].effective_license == "MIT" and got["d/x"].inherited_from == "d"
 
 
 def test_license_is_inherited_from_the_nearest_directory(spark):
@@ -289,6 +321,52 @@ def test_toxicity_on_held_out_rows(spark):
     assert (got[got.toxic == 0].predicted == 0).mean() > 0.97
 
 
+def test_label_model_equals_a_plain_one():
+    rng = random.Random(3)
+    votes = [[rng.choice((-1, 0, 1, 1 if y else -1)) for _ in range(4)] for y in (0, 1) * 20]
+    labels_ = [y if rng.random() < 0.9 else 1 - y for y in (0, 1) * 20]
+    table, corr, post = toxicity.label_model(np.array(votes), np.array(labels_), rounds=7, trust=0.9)
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    prior = [math.log(9) if y else -math.log(9) for y in labels_]
+    p = [sigmoid(o + sum(max(0, v) for v in row) - 1) for o, row in zip(prior, votes)]
+    for _ in range(7):
+        chance = {}
+        for z in (0, 1):
+            weight = [x if z else 1 - x for x in p]
+            for v in range(4):
+                seen = {k: 0.5 + sum(w for w, row in zip(weight, votes) if row[v] == k) for k in (-1, 0, 1)}
+                chance |= {(z, v, k): n / sum(seen.values()) for k, n in seen.items()}
+        base = min(max(sum(p) / len(p), 0.005), 0.5)
+        mean = {(z, v): chance[z, v, 1] - chance[z, v, -1] for z in (0, 1) for v in range(4)}
+        rest = [[row[v] - (x * mean[1, v] + (1 - x) * mean[0, v]) for v in range(4)] for x, row in zip(p, votes)]
+        cov = [[sum(r[a] * r[b] for r in rest) / len(rest) for b in range(4)] for a in range(4)]
+        c = [[1.0 if a == b else cov[a][b] / math.sqrt(max(cov[a][a], 1e-6) * max(cov[b][b], 1e-6)) for b in range(4)] for a in range(4)]
+        share = [1 / max(1, sum(min(1, max(0, x)) for x in c[v])) for v in range(4)]
+        p = [sigmoid(math.log(base / (1 - base)) + sum(share[v] * math.log(chance[1, v, row[v]] / chance[0, v, row[v]]) for v in range(4)) + o) for o, row in zip(prior, votes)]
+    assert np.allclose(post, p) and np.allclose(corr, c)
+    assert all(math.isclose(table[z][v][k + 1], chance[z, v, k]) for z in (0, 1) for v in range(4) for k in (-1, 0, 1))
+
+
+def test_linear_classifier_is_at_its_optimum():
+    rng = np.random.default_rng(2)
+    x, y = np.column_stack([rng.normal(size=(80, 3)), np.ones(80)]), rng.random(80)
+    w = toxicity.linear_classifier(x, y)
+    gradient = [sum((y[i] - 1 / (1 + math.exp(-sum(x[i] * w)))) * x[i][j] for i in range(80)) - w[j] for j in range(4)]
+    assert max(map(abs, gradient)) < 1e-6
+
+
+def test_mined_words_are_counted_by_groups(spark):
+    def own(mark, i):
+        return " ".join(f"{mark}{chr(97 + i % 26)}{chr(97 + j)}{chr(97 + i // 26)}" for j in range(12))
+
+    rows = [(f"{own('f', i)} common vile{'s' if i % 2 else ''}", 1) for i in range(40)] + [(f"{own('g', i)} common", 0) for i in range(100)] + [("copied rare words", 1)] * 20
+    mined = toxicity.mine_words(spark.createDataFrame(rows, "text string, toxic int"), 100)
+    assert {"vile", "viles"} <= set(mined) and not {"common", "copied", "rare", "faaa"} & set(mined)
+
+
 # ---- 5: rules
 
 
