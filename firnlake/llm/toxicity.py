@@ -135,12 +135,12 @@ def linear_classifier(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, modulus: int, held_out: int) -> DataFrame:
-    """text and toxic of the labelled rows that are learned from."""
+    """text and toxic of the labelled documents that are learned from, max_rows at most; one that repeats its doc_id has its least text."""
     own = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), "toxic").filter(fold(F.col("_id"), modulus) != held_out)
     own = own.groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64(F.lit(7), F.col("_id")), "_id").limit(max_rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(own), F.col("doc_id") == F.col("_id"))  # own has at most max_rows rows
-    return found.select("text", F.col("toxic").cast("int").alias("toxic"))
+    return found.groupBy("_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic")).drop("_id")
 
 
 def mine_words(rows: DataFrame, max_words: int, least: int = 5) -> dict[str, int]:
@@ -165,7 +165,7 @@ def mine_words(rows: DataFrame, max_words: int, least: int = 5) -> dict[str, int
                 out[2].extend([toxic] * len(own))
             yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], ["word", "grp", "toxic"])
 
-    counts = rows.mapInArrow(words, "word string, grp long, toxic int").groupBy("word", "toxic").agg(F.approx_count_distinct("grp", 0.02).alias("n"))
+    counts = rows.mapInArrow(words, "word string, grp long, toxic int").groupBy("word", "toxic").agg(F.count_distinct("grp").alias("n"))
     counts = counts.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("good"))
     counts = materialize(counts, "words")
     total = counts.filter("word = ''").first()  # every row has the empty word
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_words: i
             got = [features(t, mined) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([v.tolist() for v, _ in got], pa.list_(pa.int32())), pa.array([x.tolist() for _, x in got], pa.list_(pa.float64())), b.column(1)], ["votes", "x", "toxic"])
 
-    got = rows.mapInArrow(measured, "votes array<int>, x array<double>, toxic int").collect()  # at most max_rows rows, and copies of their doc_ids
+    got = rows.mapInArrow(measured, "votes array<int>, x array<double>, toxic int").collect()  # at most max_rows rows
     if not got:
         weights = np.zeros(2 * len(voters()) + 3)
         weights[: len(LEXICONS)], weights[-1] = 3.0, -2.0
