@@ -233,10 +233,14 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = list(shingled(b.column(0), k))
-            for kind, which, least in ((0, 0, max(4, len(found) // 250)), (1, 2, 4)):
-                if found:
-                    h, c = np.unique(np.concatenate([f[which] for f in found]), return_counts=True)
+            found: tuple[list, list] = ([], [])
+            for s, _, w in shingled(b.column(0), k):
+                found[0].append(s)
+                found[1].append(w.copy())
+            for kind, least in ((0, max(4, b.num_rows // 250)), (1, 4)):
+                if b.num_rows:
+                    h, c = np.unique(np.concatenate(found[kind]), return_counts=True)
+                    found[kind].clear()
                     much = c >= least
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(much.sum(), kind, dtype=np.int32)), pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["kind", "h", "c"])
 
@@ -307,13 +311,13 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [s for s, _, _ in shingled(b.column(1), k)]
-            first = np.array([s[0] if len(s) else 0 for s in found], dtype=np.uint64)
+            found = [(s[0] if len(s) else 0, len(s)) for s, _, _ in shingled(b.column(1), k)]
+            first = np.array([x for x, _ in found], dtype=np.uint64)
             ids = np.array([x or 0 for x in b.column(0).to_pylist()], dtype=np.int64).view(np.uint64)
             deal = first + mix64(ids) % deals(first)
-            empty = np.array([not len(s) for s in found], dtype=bool)
+            empty = np.array([not n for _, n in found], dtype=bool)
             deal[empty] = np.flatnonzero(empty).astype(np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(first.view(np.int64)), pa.array(mix64(deal).view(np.int64)), pa.array([len(s) for s in found], pa.int32())], ["doc_id", "text", "first", "deal", "n"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(first.view(np.int64)), pa.array(mix64(deal).view(np.int64)), pa.array([n for _, n in found], pa.int32())], ["doc_id", "text", "first", "deal", "n"])
 
     keyed = docs.select("doc_id", "text").mapInArrow(least, "doc_id long, text string, first long, deal long, n int")
     dealt = keyed.repartition(parts, "deal").sortWithinPartitions("first", "n", "doc_id").select("doc_id", "text", "first")
@@ -687,7 +691,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     alive = small(materialize(representatives(found, roots), "alive"))
     rows = found.select(F.col("row").alias("_r"), "doc_id", "n", "prefix", "point").join(alive, F.col("_r") == F.col("row")).drop("_r")
     hot, blocks = hot_keys(rows)
-    met = small(materialize(meetings(rows, percent, hot), "meetings"))
+    met = small(materialize(meetings(rows, percent, hot), "meetings"), 300_000)
     near = materialize(candidates(met, rows, percent, hot, blocks), "candidates")
     groups = materialize(components(near.select(F.col("label").alias("a"), F.col("top").alias("b"))), "groups")
     sizes = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.sum("n").alias("n"))
