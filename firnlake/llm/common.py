@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import shutil
+import re
 import tempfile
 import uuid
 import zlib
@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.paths import remove
 from ..sources.ship import ship
 
 #: What separates words: space and U+0009 to U+000D, in Java's regular expressions and in DuckDB's.
@@ -20,16 +21,30 @@ SPACE_RE = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a new one of our own if it is unset."""
+    """The folder in spark.checkpoint.dir, which driver and executors share; a new one of our own if it is unset in a session that is one process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="firnlake-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/firnlake-{what}-{uuid.uuid4().hex}"
+    """A new table's path in this application's scratch folder."""
+    return f"{shared_dir(spark)}/firnlake-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables that operators of this application wrote to the shared folder. Results that were not written elsewhere go with them."""
+    remove(spark, f"{shared_dir(spark)}/firnlake-{spark.sparkContext.applicationId}")
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again: what was made of them is materialised."""
+    for t in tables:
+        remove(t.sparkSession, t.scratch)
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
@@ -37,7 +52,9 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     ship(df.sparkSession)
     path = scratch_path(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
 def small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
@@ -60,10 +77,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def clean_local(path: str) -> None:
-    shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-
-
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod modulus; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)

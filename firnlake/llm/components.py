@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,8 +25,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     for _ in range(rounds):
-        edges = materialize(_star(_star(edges, True).filter("a <> b").distinct(), False).filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        old, edges = edges, materialize(_star(_star(edges, True).filter("a <> b").distinct(), False).filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        discard(old)
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
