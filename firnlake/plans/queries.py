@@ -7,6 +7,7 @@ import time
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -506,6 +507,244 @@ def sql_lifecycle(b: Bench) -> DataFrame:
         b.lake.sql(statement)
     return b.lake.sql("SELECT id, name FROM lake.other.t")
 
+# ---- which files are opened
+
+
+@query("SELECT * FROM (VALUES ('alias', 1), ('filter', 1), ('join', 1), ('subquery', 1), ('view', 1), ('where', 1)) AS t(how, files)")
+def pushdown_opened_files(b: Bench) -> DataFrame:
+    lake = b.lake
+    df = b.source("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    lake.create_table("o", df.schema)
+    top = df.agg(F.max("o_orderkey")).first()[0] + 1
+    for i in range(4):
+        lake.append(df.filter(f"o_orderkey >= {top * i // 4} AND o_orderkey < {top * (i + 1) // 4}").coalesce(1), "o")
+    lake.sql("CREATE VIEW main.v AS SELECT o_orderkey AS k, o_custkey AS c FROM o")
+    lake.create_table("k", "key long")
+    lake.append(b.spark.range(1).select(F.lit(5).cast("long").alias("key")), "k")
+    how = {
+        "where": lake.read("o", where="o_orderkey = 5"),
+        "filter": lake.read("o").filter(F.col("o_orderkey") < 10),
+        "alias": lake.sql("SELECT * FROM o AS x WHERE x.o_orderkey = 5"),
+        "join": lake.sql("SELECT o.* FROM o JOIN k ON o.o_orderkey = k.key WHERE k.key = 5"),
+        "view": lake.sql("SELECT c FROM v WHERE k BETWEEN 3 AND 5"),
+        "subquery": lake.sql("SELECT c FROM (SELECT * FROM v) AS s WHERE s.k IN (1, 2)"),
+    }
+    rows = [(k, sum("/k-" not in f for f in df.inputFiles())) for k, df in how.items()]
+    return b.spark.createDataFrame(rows, "how string, files int")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0")
+def filter_not_null(b: Bench) -> DataFrame:
+    lake = b.lake
+    df = b.source("orders").withColumn("o_comment", F.expr("CASE WHEN o_orderkey % 10 <> 0 THEN 'set' END"))
+    lake.create_table("orders", T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    lake.append(df.filter("o_comment IS NULL"), "orders")
+    lake.append(df.filter("o_comment IS NOT NULL"), "orders")
+    return lake.read("orders").filter("o_comment IS NOT NULL").select("o_orderkey")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_discount > 0.05 AND l_shipdate < TIMESTAMP '1998-01-01' AND l_returnflag <> 'R'")
+def filter_typed_bounds(b: Bench) -> DataFrame:
+    return b.load("lineitem").read("lineitem").filter("l_discount > 0.05D AND l_shipdate < timestamp_ntz'1998-01-01' AND l_returnflag <> 'R'").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 7 = 3 AND length(c_name) > 3")
+def filter_any_expression(b: Bench) -> DataFrame:
+    return b.load("customer").read("customer").filter("c_custkey % 7 = 3 AND length(c_name) > 3").select("c_custkey")
+
+
+# ---- errors and no-ops, as rows of what was raised or left alone
+
+
+def _raised(f: Callable[[], object]) -> str:
+    try:
+        f()
+    except Exception as e:  # noqa: BLE001  the name of its kind is the result
+        return type(e).__name__
+    return "nothing"
+
+
+@query("SELECT * FROM (VALUES ('both', 'SnapshotNotFoundError'), ('early', 'SnapshotNotFoundError'), ('no number', 'SnapshotNotFoundError'), ('unknown', 'SnapshotNotFoundError')) AS t(what, error)")
+def time_travel_errors(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    tries = {"both": lambda: lake.read("region", version=1, timestamp="2030-01-01"), "early": lambda: lake.read("region", timestamp="1970-01-01"), "no number": lambda: lake.read("region", version="x"), "unknown": lambda: lake.read("region", version=10_000)}
+    return b.spark.createDataFrame([(k, _raised(f)) for k, f in tries.items()], "what string, error string")
+
+
+@query("SELECT * FROM (VALUES ('no clause', 'MergeError'), ('no equality', 'MergeError'), ('no source', 'MergeError'), ('two rows', 'MergeError')) AS t(what, error)")
+def merge_validation(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    two = b.source("region").filter("r_regionkey < 2").withColumn("r_regionkey", F.lit(1))
+    on = "target.r_regionkey = source.r_regionkey"
+    tries = {
+        "no clause": lambda: lake.merge("region").using(two).on(on).execute(),
+        "no equality": lambda: lake.merge("region").using(two).on("target.r_regionkey > source.r_regionkey"),
+        "no source": lambda: lake.merge("region").on(on).when_matched().delete().execute(),
+        "two rows": lambda: lake.merge("region").using(two).on(on).when_matched().update_all().execute(),
+    }
+    return b.spark.createDataFrame([(k, _raised(f)) for k, f in tries.items()], "what string, error string")
+
+
+@query("SELECT * FROM (VALUES ('delete', 0), ('empty append', 0), ('merge', 0), ('update', 0)) AS t(what, snapshots)")
+def nothing_to_do_commits_nothing(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    none = b.source("region").filter("r_regionkey < 0")
+    on = "target.r_regionkey = source.r_regionkey"
+    rows = []
+    for what, f in {"merge": lambda: lake.merge("region").using(none).on(on).when_matched().delete().execute(), "empty append": lambda: lake.append(none, "region"), "delete": lambda: lake.delete("region", "r_regionkey = -1"), "update": lambda: lake.update("region", {"r_name": "x"}, "r_regionkey = -1")}.items():
+        before = lake.version
+        f()
+        rows.append((what, lake.version - before))
+    return b.spark.createDataFrame(rows, "what string, snapshots int")
+
+
+@query("SELECT r_regionkey, r_name, 'insert' AS _change_type FROM region WHERE FALSE")
+def cdc_empty_range(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    return lake.changes("region", lake.version).select("r_regionkey", "r_name", "_change_type")
+
+
+@query("SELECT * FROM (VALUES ('append', 0), ('column', 1), ('delete', 0), ('rename', 1)) AS t(what, ddl)")
+def schema_version_moves_with_ddl(b: Bench) -> DataFrame:
+    lake, rows = b.load("region"), []
+    for what, f in {"column": lambda: lake.ddl.add_column("region", "x", "INTEGER"), "append": lambda: lake.append(b.source("region"), "region"), "delete": lambda: lake.delete("region", "r_regionkey = 1"), "rename": lambda: lake.ddl.rename_column("region", "x", "y")}.items():
+        before = lake.snapshot().schema_version
+        f()
+        rows.append((what, lake.snapshot().schema_version - before))
+    return b.spark.createDataFrame(rows, "what string, ddl int")
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def rename_table(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.sql("ALTER TABLE nation RENAME TO countries")
+    return lake.sql("SELECT n_nationkey, n_name FROM countries")
+
+
+@query("SELECT * FROM (VALUES ('column', 'unit', 'none'), ('table', 'owner', 'second')) AS t(what, tag, value)")
+def tags(b: Bench) -> DataFrame:
+    lake = b.load("region")
+    lake.ddl.set_tag("region", "owner", "first")
+    lake.ddl.set_tag("region", "owner", "second")
+    lake.ddl.set_tag("region", "gone", "x")
+    lake.ddl.set_tag("region", "gone", None)
+    lake.ddl.set_tag("region", "unit", "none", column="r_name")
+    rows = [("table", k, v) for k, v in lake.ddl.tags(lake.table("region")).items()] + [("column", k, v) for k, v in lake.ddl.tags(lake.table("region"), "r_name").items()]
+    return b.spark.createDataFrame(rows, "what string, tag string, value string")
+
+
+@query("SELECT * FROM (VALUES ('append', 'ConstraintError'), ('direct', 'ConstraintError'), ('fits', 'nothing'), ('update', 'ConstraintError')) AS t(what, error)")
+def not_null_constraint(b: Bench) -> DataFrame:
+    lake = b.load("nation")
+    lake.ddl.add_constraint("nation", "named", "NOT NULL", ["n_name"])
+    bad = b.source("nation").withColumn("n_name", F.lit(None).cast("string"))
+    tries = {"append": lambda: lake.append(bad, "nation"), "direct": lambda: lake.append(b.spark.range(3).selectExpr("CAST(id AS int) AS n_nationkey"), "nation"), "update": lambda: lake.update("nation", {"n_name": None}, "n_nationkey = 1"), "fits": lambda: lake.append(b.source("nation"), "nation")}
+    return b.spark.createDataFrame([(k, _raised(f)) for k, f in tries.items()], "what string, error string")
+
+
+@query("SELECT CAST(8 AS BIGINT) AS commits, COUNT(*) * 8 AS n FROM region")
+def concurrent_appends(b: Bench) -> DataFrame:
+    from concurrent.futures import ThreadPoolExecutor
+
+    lake = b.lake
+    lake.create_table("r", "r_regionkey int, r_name string")
+    df, before = b.source("region"), lake.version
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: lake.append(df, "r"), range(8)))
+    return b.spark.createDataFrame([(lake.version - before, lake.read("r").count())], "commits long, n long")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (o_orderkey % 4 = 0)")
+def compact_expire_vacuum(b: Bench) -> DataFrame:
+    lake = b.batches("orders", "o_orderkey", 3)
+    lake.delete("orders", "o_orderkey % 4 = 0")
+    lake.rewrite_data_files("orders")
+    lake.expire_snapshots(0)
+    lake.vacuum()
+    return lake.read("orders").select("o_orderkey", "o_orderstatus")
+
+
+# ---- queries over lake tables
+
+
+def _three(b: Bench) -> Lake:
+    for name in ("customer", "orders", "nation"):
+        b.load(name)
+    return b.lake
+
+
+@query("SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') AS o ON c_custkey = o_custkey")
+def join_left_outer(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') AS o ON c_custkey = o_custkey")
+
+
+@query("SELECT c_custkey, n_nationkey FROM (SELECT * FROM customer WHERE c_nationkey < 5) AS c FULL JOIN nation ON c_nationkey = n_nationkey")
+def join_full_outer(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT c_custkey, n_nationkey FROM (SELECT * FROM customer WHERE c_nationkey < 5) AS c FULL JOIN nation ON c_nationkey = n_nationkey")
+
+
+@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
+def join_semi(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
+def join_anti(b: Bench) -> DataFrame:
+    lake = _three(b)
+    return lake.read("customer").join(lake.read("orders", where="o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("SELECT c_mktsegment, c_nationkey, COUNT(*) AS n FROM customer GROUP BY ROLLUP (c_mktsegment, c_nationkey)")
+def agg_rollup(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT c_mktsegment, c_nationkey, COUNT(*) AS n FROM customer GROUP BY ROLLUP (c_mktsegment, c_nationkey)")
+
+
+@query("SELECT o_orderstatus, o_orderpriority, COUNT(DISTINCT o_custkey) AS n FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
+def agg_cube_distinct(b: Bench) -> DataFrame:
+    return _three(b).read("orders").cube("o_orderstatus", "o_orderpriority").agg(F.count_distinct("o_custkey").alias("n"))
+
+
+@query("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey AS k FROM customer WHERE c_nationkey = 1")
+def set_intersect_except(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey AS k FROM customer WHERE c_nationkey = 1")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT AVG(o_totalprice) FROM orders) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3)")
+def subqueries(b: Bench) -> DataFrame:
+    return _three(b).sql("SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT AVG(o_totalprice) FROM orders) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3)")
+
+
+@query("SELECT n_nationkey, upper(substr(n_name, 1, 3)) || '-' || n_nationkey AS code, coalesce(nullif(n_regionkey, 0), -1) AS region FROM nation")
+def scalar_functions(b: Bench) -> DataFrame:
+    return b.load("nation").sql("SELECT n_nationkey, upper(substr(n_name, 1, 3)) || '-' || n_nationkey AS code, coalesce(nullif(n_regionkey, 0), -1) AS region FROM nation")
+
+
+@query("SELECT c_nationkey, MAX(c_custkey) - MIN(c_custkey) AS span, MIN(length(c_name) * 2) AS d FROM customer GROUP BY c_nationkey")
+def udf_and_udaf(b: Bench) -> DataFrame:
+    @F.pandas_udf("int")
+    def doubled(s: pd.Series) -> pd.Series:
+        return s.str.len().mul(2).astype("int32")
+
+    @F.pandas_udf("long")
+    def span(s: pd.Series) -> int:
+        return int(s.max() - s.min())
+
+    df = b.load("customer").read("customer").select("c_nationkey", "c_custkey", doubled("c_name").alias("d"))
+    spans, least = df.groupBy("c_nationkey").agg(span("c_custkey").alias("span")), df.groupBy("c_nationkey").agg(F.min("d").alias("d"))
+    return spans.join(least, "c_nationkey")
+
+
+@query("SELECT event_type, date_trunc('day', ts) AS day, COUNT(*) AS n FROM events GROUP BY ALL")
+def streaming_watermark_window(b: Bench) -> DataFrame:
+    """Windowed counts of a table read as a stream, with a watermark longer than the table's span, so that all windows are there."""
+    lake, name = b.lake, f"windows_{uuid.uuid4().hex}"
+    lake.create_from(b.source("events").orderBy("ts"), "events", files=1)
+    days = lake.read_stream("events").select(F.col("ts").cast("timestamp").alias("at"), "event_type").withWatermark("at", "100000 days")
+    counts = days.groupBy(F.window("at", "1 day"), "event_type").count()
+    q = counts.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{b.shared}/windows").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return b.spark.table(name).select("event_type", F.col("window.start").cast("timestamp_ntz").alias("day"), F.col("count").alias("n"))
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appends, a delete, a merge and a compaction, then orders by status before and after them."""
