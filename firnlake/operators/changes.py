@@ -25,8 +25,13 @@ def changes(scanner: Scanner, t: TableInfo, start: int, end: int) -> DataFrame:
 
     def query(tx: Transaction) -> tuple:
         moved = {r["snapshot_id"] for r in tx.rows("SELECT snapshot_id FROM {snapshot_changes} WHERE changes_made LIKE ?", (f"%compacted_table:{t.table_id}%",))}
-        files = tx.rows("SELECT * FROM {data_file} WHERE table_id = ? AND (begin_snapshot <= ?)", (t.table_id, end))
-        return moved, files, tx.rows("SELECT * FROM {delete_file} WHERE table_id = ? AND begin_snapshot <= ?", (t.table_id, end))
+        within = "{0} > ? AND {0} <= ?"
+        hit = f"SELECT data_file_id FROM {{delete_file}} WHERE table_id = ? AND {within.format('begin_snapshot')}"
+        where = f"table_id = ? AND (({within.format('begin_snapshot')}) OR ({within.format('end_snapshot')}) OR data_file_id IN ({hit}))"
+        args = (t.table_id, start, end, start, end, t.table_id, start, end)
+        files = tx.rows(f"SELECT * FROM {{data_file}} WHERE {where}", args)
+        deletes = tx.rows(f"SELECT * FROM {{delete_file}} WHERE begin_snapshot <= ? AND data_file_id IN (SELECT data_file_id FROM {{data_file}} WHERE {where})", (end, *args))
+        return moved, files, deletes
 
     moved, files, deletes = scanner.store.read(query)
     by_file: dict[int, list[dict]] = {}
@@ -64,9 +69,8 @@ def changes(scanner: Scanner, t: TableInfo, start: int, end: int) -> DataFrame:
         whole = [DataFile(f.data_file_id, f.path, f.records, 0, f.mapping_id, f.begin) for f, _ in hit]
         parts.append(scanner.rows_of(t, whole, positions=True).join(gone, [FILE, POS]).withColumn("_change_type", F.lit("delete")))
     for column, kind in (("begin_snapshot", "insert"), ("end_snapshot", "delete")):
-        for n in range(start + 1, end + 1) if _has_inline(scanner, t) else ():
-            if in_range(n) and (df := scanner.inlined(t, f"{column} = {n}", positions=True)) is not None:
-                parts.append(df.withColumn("_snapshot_id", F.lit(n).cast("long")).withColumn("_change_type", F.lit(kind)))
+        if (df := scanner.inlined(t, f"{column} > {start} AND {column} <= {end}", snapshot=column)) is not None:
+            parts.append(df.filter(~F.col("_snapshot_id").isin(sorted(moved))).withColumn("_change_type", F.lit(kind)))
     columns = [*(F.col(f"`{c.name}`") for c in t.columns), "_change_type", "_snapshot_id"]
     if not parts:
         return spark.createDataFrame([], T.StructType([*t.spark_schema().fields, T.StructField("_change_type", T.StringType()), T.StructField("_snapshot_id", T.LongType())]))
@@ -76,8 +80,4 @@ def changes(scanner: Scanner, t: TableInfo, start: int, end: int) -> DataFrame:
     return out.orderBy("_snapshot_id", "_change_type")
 
 
-def _has_inline(scanner: Scanner, t: TableInfo) -> bool:
-    return bool(scanner.store.rows("SELECT table_name FROM {inlined_data_tables} WHERE table_id = ?", (t.table_id,)))
-
-
 __all__ = ["INLINE", "changes"]

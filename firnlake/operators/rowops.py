@@ -11,14 +11,40 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import MergeError
 from ..sources.metastore import Snapshot
 from ..sources.paths import remove
-from ..sources.scan import FILE, POS, TableInfo
+from ..sources.scan import FILE, POS, DataFile, TableInfo
 from .write import Writer
 
 
+#: Source keys up to which a merge looks for each in the target's statistics.
+FEW_KEYS = 1000
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_KEYS = (*_WHOLE, T.StringType, T.DateType)
+
+
+def _conjuncts(tree: Any) -> list[Any]:
+    if tree.getClass().getSimpleName() == "And":
+        return _conjuncts(tree.left()) + _conjuncts(tree.right())
+    return [tree]
+
+
+def _parts(node: Any) -> list[str]:
+    """The name's parts, if a parsed expression is a name."""
+    if node.getClass().getSimpleName() != "UnresolvedAttribute":
+        return []
+    return [node.nameParts().apply(i) for i in range(node.nameParts().size())]
+
+
+def _qualifiers(node: Any) -> list[str]:
+    """What the names in a parsed expression begin with."""
+    own = _parts(node)[:1]
+    return own + [x for i in range(node.children().size()) for x in _qualifiers(node.children().apply(i))]
+
+
 class RowOps:
     def __init__(self, writer: Writer) -> None:
         self.writer, self.scanner, self.store, self.spark = writer, writer.scanner, writer.store, writer.spark
@@ -99,6 +125,7 @@ class Merge:
         self.ops, self.table, self.clauses = ops, table, []
         self.source: DataFrame | None = None
         self.condition: str | None = None
+        self.equalities: list[tuple[Any, Any]] = []
 
     def using(self, source: DataFrame) -> Merge:
         self.source = source
@@ -106,9 +133,16 @@ class Merge:
 
     def on(self, condition: str) -> Merge:
         """Equalities over target.x and source.x, joined by AND."""
-        for part in re.split(r"(?i)\s+and\s+", condition.strip()):
-            if not re.fullmatch(r"(?s)[^=<>!]+=[^=<>!]+", part):
-                raise MergeError(f"ON must be equalities joined by AND: {part!r}")
+        session = self.ops.spark._jsparkSession
+        try:
+            tree = session.sessionState().sqlParser().parseExpression(condition)
+        except Exception as e:
+            raise MergeError(f"ON can't be parsed: {condition!r}") from e
+        self.equalities = []
+        for node in _conjuncts(tree):
+            if node.getClass().getSimpleName() != "EqualTo":
+                raise MergeError(f"ON must be equalities joined by AND: {node.sql()!r}")
+            self.equalities.append((node.left(), node.right()))
         self.condition = condition
         return self
 
@@ -148,6 +182,29 @@ class Merge:
             out.append((value if value is not None else F.lit(None).cast(c.spark_type)).alias(c.name))
         return out
 
+    def _files(self, source: DataFrame) -> list[DataFile] | None:
+        """The target's files that may hold a key of source (kept, with rows), by the keys if they are few, else by their least and largest."""
+        where = None
+        for left, right in self.equalities:
+            for a, b in ((left, right), (right, left)):
+                names, other = _parts(a), b.sql()
+                if len(names) != 2 or names[0].lower() != "target" or "target" in {x.lower() for x in _qualifiers(b)}:
+                    continue
+                c = self.table.column(names[1])
+                key = source.alias("source").select(F.expr(other).alias("k"))
+                kind = key.schema["k"].dataType
+                if not isinstance(kind, _KEYS) or not (isinstance(kind, type(c.spark_type)) or isinstance(kind, _WHOLE) and isinstance(c.spark_type, _WHOLE)):
+                    continue
+                few = [r["k"] for r in key.filter("k IS NOT NULL").distinct().limit(FEW_KEYS + 1).collect()]
+                if len(few) <= FEW_KEYS:
+                    own = F.col(f"`{c.name}`").isin(few) if few else F.lit(False)
+                else:
+                    ends = key.agg(F.min("k").alias("a"), F.max("k").alias("b")).first()
+                    own = F.col(f"`{c.name}`").between(ends["a"], ends["b"])
+                where = own if where is None else where & own
+                break
+        return None if where is None else self.ops.scanner.plan(self.table, where).files
+
     def execute(self) -> Snapshot | None:
         if self.source is None or not self.condition or not self.clauses:
             raise MergeError("a merge needs a source, ON and at least one WHEN clause")
@@ -157,7 +214,7 @@ class Merge:
             source = keep(self.source.withColumn("_source_row", F.monotonically_increasing_id()))
             if not source.limit(1).count():
                 return None
-            target = self.ops.scanner.read(self.table, positions=True)
+            target = self.ops.scanner.read(self.table, positions=True, files=self._files(source))
             both = target.alias("target").join(source.alias("source"), F.expr(self.condition)).withColumn("_clause", self._first(on_match))
             updates = [i for i, c in enumerate(on_match) if c.action.startswith("update")]
             both = keep(both.select(FILE, POS, "_source_row", "_clause", *self._values(on_match, names, True)))

@@ -75,14 +75,48 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+class _Remote:
+    """A file of any store that Hadoop reads, for pyarrow: only the ranges that are asked for are fetched."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        fs = _fs(spark, path)
+        self.size = fs.getFileStatus(_path(spark, path)).getLen()
+        self.stream, self.io, self.at, self.closed = fs.open(_path(spark, path)), spark._jvm.org.apache.commons.io.IOUtils, 0, False
+
+    def seek(self, to: int, whence: int = 0) -> int:
+        self.at = to + (0, self.at, self.size)[whence]
+        return self.at
+
+    def tell(self) -> int:
+        return self.at
+
+    def read(self, n: int = -1) -> bytes:
+        n = self.size - self.at if n is None or n < 0 else min(n, self.size - self.at)
+        self.stream.seek(self.at)
+        data = bytes(self.io.toByteArray(self.stream, n)) if n else b""
+        self.at += len(data)
+        return data
+
+    def close(self) -> None:
+        if not self.closed:
+            self.closed = True
+            self.stream.close()
+
+
+def _local(path: str) -> str | None:
+    """The path on this machine's file system, if it is one."""
+    if path.startswith("file:"):
+        return re.sub(r"^file:/+", "/", path)
+    return None if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else path
+
+
 def _open(path: str) -> Any:
+    """A Parquet file where only Python runs."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = re.sub(r"^file:/+", "/", path)
-    if "://" not in path:
-        return pq.ParquetFile(path)
+    if (local := _local(path)) is not None:
+        return pq.ParquetFile(local)
     store, inner = fs.FileSystem.from_uri(path)
     return pq.ParquetFile(inner, filesystem=store)
 
@@ -128,7 +162,19 @@ def described(f: Any, path: str, types: dict[str, str]) -> dict:
 
 
 def footers(spark: SparkSession, paths: list[str], types: dict[str, str], local: int = 256) -> list[dict]:
-    """footer() of each path: by threads of the driver, or by tasks if there are many."""
+    """footer() of each path: by threads of the driver, or by tasks if there are many. Files that are not local are read through Hadoop, by the driver."""
+    if any(_local(p) is None for p in paths):
+        import pyarrow.parquet as pq
+
+        def remote(path: str) -> dict:
+            source = _Remote(spark, path)
+            try:
+                return described(pq.ParquetFile(source, pre_buffer=False), path, types)
+            finally:
+                source.close()
+
+        with ThreadPoolExecutor(16) as pool:
+            return list(pool.map(remote, paths))
     if len(paths) <= local:
         with ThreadPoolExecutor(min(16, max(1, os.cpu_count() or 1))) as pool:
             return list(pool.map(lambda p: footer(p, types), paths))

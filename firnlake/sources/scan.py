@@ -238,21 +238,21 @@ class Scanner:
             out = df if out is None else out.unionByName(df)
         return out
 
-    def inlined(self, t: TableInfo, condition: str | None = None, positions: bool = False) -> DataFrame | None:
-        """Rows kept in the catalog that are visible (or meet a condition on begin_snapshot and end_snapshot)."""
+    def inlined(self, t: TableInfo, condition: str | None = None, positions: bool = False, snapshot: str | None = None) -> DataFrame | None:
+        """Rows kept in the catalog that are visible (or meet a condition on begin_snapshot and end_snapshot). snapshot: which of these is given as _snapshot_id."""
 
         def query(tx: Transaction) -> list[tuple]:
             out = []
             for r in tx.rows("SELECT table_name FROM {inlined_data_tables} WHERE table_id = ? ORDER BY schema_version", (t.table_id,)):
                 for row in tx.rows(f'SELECT * FROM "{r["table_name"]}" WHERE {condition or seen(t.snapshot.snapshot_id)} ORDER BY row_id'):
                     values = [decode(row[k], c.spark_type) if (k := f"c{c.column_id}") in row else decode(c.initial_default, c.spark_type) for c in t.columns]
-                    out.append((*values, INLINE + r["table_name"], row["row_id"]))
+                    out.append((*values, INLINE + r["table_name"], row["row_id"], *((row[snapshot],) if snapshot else ())))
             return out
 
         rows = self.store.read(query)
         if not rows:
             return None
-        schema = T.StructType([*t.spark_schema().fields, T.StructField(FILE, T.StringType()), T.StructField(POS, T.LongType())])
+        schema = T.StructType([*t.spark_schema().fields, T.StructField(FILE, T.StringType()), T.StructField(POS, T.LongType()), *([T.StructField("_snapshot_id", T.LongType())] if snapshot else [])])
         df = self.spark.createDataFrame(rows, schema)
         return df if positions else df.drop(FILE, POS)
 

@@ -18,11 +18,15 @@ from ..sources.paths import _open
 from ..sources.scan import ColumnInfo, TableInfo, find_table, full_path
 
 FORMAT = "firnlake-stream"
+#: Bytes of small files that one task reads, about.
+TASK_BYTES = 64 << 20
 
 
-class _File(InputPartition):
-    def __init__(self, path: str, names: dict[int, str] | None, rows: list | None = None) -> None:
-        self.path, self.names, self.rows = path, names, rows
+class _Files(InputPartition):
+    """Files (path, name mapping) that one task reads, or rows."""
+
+    def __init__(self, files: list[tuple[str, dict[int, str] | None]], rows: list | None = None) -> None:
+        self.files, self.rows = files, rows
 
 
 class _Reader(DataSourceStreamReader):
@@ -36,6 +40,7 @@ class _Reader(DataSourceStreamReader):
         return {"snapshotId": int(self.options.get("start_snapshot", 0))}
 
     def latestOffset(self) -> dict:  # noqa: N802
+        """All there is: Spark tells a Python source neither where the query stands nor how much it may admit."""
         return {"snapshotId": self._store().snapshot().snapshot_id}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
@@ -44,37 +49,46 @@ class _Reader(DataSourceStreamReader):
         def query(tx: Transaction) -> list[InputPartition]:
             moved = {r["snapshot_id"] for r in tx.rows("SELECT snapshot_id FROM {snapshot_changes} WHERE changes_made LIKE ?", (f"%compacted_table:{self.table_id}%",))}
             out: list[InputPartition] = []
+            mappings: dict[int, dict[int, str]] = {}
+            held, weight = [], 0
             for r in tx.rows("SELECT * FROM {data_file} WHERE table_id = ? AND begin_snapshot > ? AND begin_snapshot <= ? ORDER BY begin_snapshot, file_order", (self.table_id, low, high)):
                 if r["begin_snapshot"] in moved:
                     continue
-                names = None
-                if r["mapping_id"] is not None:
-                    names = {m["column_id"]: m["source_name"] for m in tx.rows("SELECT column_id, source_name FROM {name_mapping} WHERE mapping_id = ?", (r["mapping_id"],))}
-                out.append(_File(full_path(store.data_path, r["path"], r["path_is_relative"]), names))
+                key = r["mapping_id"]
+                if key is not None and key not in mappings:
+                    mappings[key] = {m["column_id"]: m["source_name"] for m in tx.rows("SELECT column_id, source_name FROM {name_mapping} WHERE mapping_id = ?", (key,))}
+                held.append((full_path(store.data_path, r["path"], r["path_is_relative"]), mappings.get(key)))
+                weight += r["file_size_bytes"] or 0
+                if weight >= TASK_BYTES:
+                    out.append(_Files(held))
+                    held, weight = [], 0
+            if held:
+                out.append(_Files(held))
             for t in tx.rows("SELECT table_name FROM {inlined_data_tables} WHERE table_id = ?", (self.table_id,)):
                 rows = tx.rows(f'SELECT * FROM "{t["table_name"]}" WHERE begin_snapshot > ? AND begin_snapshot <= ? ORDER BY row_id', (low, high))
                 if rows:
-                    out.append(_File("", None, [tuple(decode(r.get(f"c{c.column_id}", c.initial_default), c.spark_type) for c in self.columns) for r in rows]))
+                    out.append(_Files([], [tuple(decode(r.get(f"c{c.column_id}", c.initial_default), c.spark_type) for c in self.columns) for r in rows]))
             return out
 
-        return store.read(query) or [_File("", None, [])]
+        return store.read(query) or [_Files([], [])]
 
-    def read(self, partition: _File) -> Iterator[Any]:
+    def read(self, partition: _Files) -> Iterator[Any]:
         if partition.rows is not None:
             yield from partition.rows
             return
-        with _open(partition.path) as f:
-            physical = f.schema_arrow
-            by_id = {int(m[b"PARQUET:field_id"]): i for i in range(len(physical.names)) if (m := physical.field(i).metadata or {}).get(b"PARQUET:field_id") is not None}
-            places = [self._place(c, partition, by_id, physical) for c in self.columns]
-            for b in f.iter_batches():
-                columns = [self._column(b, p, c, k) for p, c, k in zip(places, self.columns, self.schema, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
+        for path, names in partition.files:
+            with _open(path) as f:
+                physical = f.schema_arrow
+                by_id = {int(m[b"PARQUET:field_id"]): i for i in range(len(physical.names)) if (m := physical.field(i).metadata or {}).get(b"PARQUET:field_id") is not None}
+                places = [self._place(c, names, by_id, physical) for c in self.columns]
+                for b in f.iter_batches():
+                    columns = [self._column(b, p, c, k) for p, c, k in zip(places, self.columns, self.schema, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
 
     @staticmethod
-    def _place(c: ColumnInfo, partition: _File, by_id: dict[int, int], physical: pa.Schema) -> int | None:
-        if partition.names is not None:
-            name = partition.names.get(c.column_id, "").lower()
+    def _place(c: ColumnInfo, names: dict[int, str] | None, by_id: dict[int, int], physical: pa.Schema) -> int | None:
+        if names is not None:
+            name = names.get(c.column_id, "").lower()
             return next((i for i, n in enumerate(physical.names) if n.lower() == name), None)
         return by_id.get(c.column_id)
 
@@ -90,7 +104,7 @@ class _Reader(DataSourceStreamReader):
 
 
 class LakeStream(DataSource):
-    """Options: catalog, table, and if wanted data_path and start_snapshot (rows after it; 0 is all)."""
+    """Options: catalog, table, and if wanted data_path, start_snapshot (rows after it; 0 is all)."""
 
     @classmethod
     def name(cls) -> str:

@@ -344,3 +344,69 @@ def test_null_is_refused_in_the_written_plan(lake):
         with pytest.raises(ConstraintError, match="a$"):
             lake.append(df, "n")
     assert lake.count("n") == 0 and not lake.files("n").collect()
+
+
+def test_merge_opens_only_files_that_may_match(lake, monkeypatch):
+    import firnlake.operators.rowops as rowops
+
+    lake.create_table("m", "k int, v string")
+    for i in range(4):
+        lake.append(lake.spark.range(10 * i, 10 * i + 10).selectExpr("CAST(id AS int) AS k", "'old' AS v"), "m")
+    source = lake.spark.createDataFrame([(12, "a and b"), (13, "x > y"), (500, "new")], "k long, v string")
+    on = "target.k = source.k AND 'a and b' = 'a and b'"
+    for few in (1000, 1):
+        monkeypatch.setattr(rowops, "FEW_KEYS", few)
+        m = lake.merge("m").using(source).on(on)
+        assert len(m._files(source)) == (1 if few > 1 else len(lake.files("m").collect()) - 1)
+        m.when_matched().update_all().when_not_matched("source.k < 0").insert_all().execute()
+    assert sorted((r.k, r.v) for r in lake.read("m").filter("v <> 'old'").collect()) == [(12, "a and b"), (13, "x > y")] and lake.count("m") == 40
+    with pytest.raises(MergeError):
+        lake.merge("m").using(source).on("target.k = source.k OR target.v = source.v")
+
+
+def test_columns_are_added_and_dropped_in_one_commit(lake):
+    lake.create_table("c", "a int")
+    before = lake.version
+    lake.sql("ALTER TABLE c ADD COLUMNS (b INT NOT NULL, d STRING DEFAULT 'x, y' NOT NULL, e INT)")
+    assert lake.version == before + 1 and [c.nullable for c in lake.table("c").columns] == [True, False, False, True]
+    with pytest.raises(ConstraintError):
+        lake.append(lake.spark.range(1).selectExpr("CAST(id AS int) AS a"), "c")
+    lake.append(lake.spark.range(1).selectExpr("CAST(id AS int) AS a", "1 AS b"), "c")
+    assert [tuple(r) for r in lake.read("c").collect()] == [(0, 1, "x, y", None)]
+    with pytest.raises(ConstraintError):
+        lake.sql("ALTER TABLE c ADD COLUMN f INT NOT NULL")
+    with pytest.raises(LookupError):
+        lake.sql("ALTER TABLE c DROP COLUMNS (b, zz)")
+    assert [c.name for c in lake.table("c").columns] == ["a", "b", "d", "e"]
+    lake.sql("ALTER TABLE c DROP COLUMNS IF EXISTS (b, zz, e)")
+    assert [c.name for c in lake.table("c").columns] == ["a", "d"]
+    at = lake.version
+    lake.sql("ALTER TABLE c DROP COLUMN IF EXISTS zz")
+    assert lake.version == at
+
+
+def test_comments_in_sql_are_left_out(names):
+    sql = "-- from nowhere; it's a comment\nSELECT id /* FROM t2, t3 */ FROM t -- where id > 3\nWHERE name <> '-- no comment' AND id < 3;"
+    assert sorted(r.id for r in names.sql(sql).collect()) == [1, 2]
+
+
+def test_a_store_that_only_hadoop_reads(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.only.link./in", f"file://{tmp_path}")
+    lake = Lake(spark, str(tmp_path / "far.db"), "viewfs://only/in/data")
+    lake.create_table("t", "a long, b string")
+    lake.append(spark.range(10).selectExpr("id AS a", "concat('n', id) AS b"), "t")
+    lake.append(spark.range(0, 500_000, numPartitions=2).selectExpr("id + 100 AS a", "'big' AS b"), "t")
+    assert lake.count("t") == 500_010 and lake.read("t").filter("a < 5").count() == 5
+    stats = [(r.min_value, r.max_value) for r in lake.column_stats("t").collect() if r.column_name == "a"]
+    assert stats == [("0", "9"), ("100", "250099"), ("250100", "500099")]
+
+
+def test_changes_of_inlined_rows_by_one_query(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "i.db"), str(tmp_path / "i"), inline_limit=10)
+    lake.create_table("t", "a long")
+    lake.append(spark.createDataFrame([(1,), (2,)], "a long"), "t")
+    start = lake.version
+    lake.append(spark.createDataFrame([(3,)], "a long"), "t")
+    lake.delete("t", "a = 1")
+    got = [(r.a, r._change_type, r._snapshot_id - start) for r in lake.changes("t", start).collect()]
+    assert got == [(3, "insert", 1), (1, "delete", 2)]

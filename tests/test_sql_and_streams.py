@@ -81,3 +81,17 @@ def test_stream_out_resumes_and_leaves_out_compaction(names, tmp_path):
     names.rewrite_data_files("t")
     names.append(names.spark.sql("SELECT 77 AS id, 'n' AS name"), "t")
     assert drain() == 21
+
+
+def test_small_files_of_a_stream_share_tasks(lake, tmp_path, monkeypatch):
+    lake.create_table("s", "a long")
+    for i in range(6):
+        lake.append(lake.spark.range(i, i + 1).toDF("a"), "s")
+    seen = []
+
+    def batch(df, n):
+        seen.append((df.rdd.getNumPartitions(), sorted(r.a for r in df.collect())))
+
+    q = lake.read_stream("s").writeStream.foreachBatch(batch).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert seen == [(1, [0, 1, 2, 3, 4, 5])]
