@@ -63,15 +63,100 @@ OPERATORS = {
 }
 
 
+WORDS = {1: 0, 2: 0, 3: 0, 5: 30_000, 6: 1, 7: 8, 8: 8}
+#: Columns and types of each result, and what it says of the odd rows.
+TYPES = {
+    "jaccard": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "pii": "doc_id bigint, base array<struct<s:int,kind:int,e:int>>, spans array<struct<s:int,kind:int,e:int>>",
+    "licenses": "path string, license string, cosine double, license_file boolean, effective_license string, inherited_from string",
+    "toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, host_verdict string",
+    "brown": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "decontam": "doc_id bigint, contaminated boolean, n_items bigint, n_hits bigint, item_ids array<bigint>",
+    "token_ids": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "kn_quality": "doc_id bigint, n_tokens bigint, log_ppl double, low double, high double, kept boolean",
+    "mixing": "doc_id bigint, mix_size bigint, mix_source_size bigint, mix_target double, mix_times int",
+}
+
+
+def by_id(rows):
+    return {r.doc_id: r for r in rows if r.doc_id != 4}
+
+
+def odd_jaccard(rows):
+    key = lambda x: (x[0] is None, x)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=key) == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (4, 3, 4), (5, 1, 5), (6, 1, 6), (7, 5, 7), (8, 5, 7), (None, 1, None)], key=key)
+
+
+def odd_pii(rows):
+    assert all(r.base == [] and r.spans == [] for r in rows)
+
+
+def odd_licenses(rows):
+    assert all((r.license, r.cosine, r.license_file, r.effective_license, r.inherited_from) == (None, 0.0, False, None, None) for r in rows)
+
+
+def odd_toxicity(rows):
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) and r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+def odd_quality_rules(rows):
+    got = by_id(rows)
+    assert {i: got[i].n_words for i in WORDS} == WORDS and all(got[i].base_failed and not got[i].kept for i in WORDS)
+    assert got[5].n_repeat_words == 30_000 and got[6].word_chars == 10_000 and got[None].n_words == 4
+
+
+def odd_brown(rows):
+    got = by_id(rows)
+    assert {i: got[i].n_tokens - 1 for i in WORDS} == WORDS and not got[None].held_out
+    learned = sum(r.n_tokens for r in rows if not r.held_out)
+    assert all(r.train_tokens == learned and r.n_known <= r.n_tokens and r.score < 0 and r.base_score < 0 for r in rows)
+    assert got[1].score == got[2].score == got[3].score and got[1].base_score == got[3].base_score
+
+
+def odd_decontam(rows):
+    got = by_id(rows)
+    assert {i for i, r in got.items() if r.contaminated} == {5, 7, 8} and not any(r.contaminated for r in rows if r.doc_id == 4)
+    assert (got[7].n_items, got[7].n_hits, got[7].item_ids) == (1, 1, [2]) and (got[5].n_items, got[5].item_ids) == (1, [])
+    assert got[5].n_hits == (30_000 - 11) * 29 and (got[1].n_items, got[1].n_hits, got[1].item_ids) == (0, 0, [])
+
+
+def odd_token_ids(rows):
+    rows = sorted(rows, key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, 1, 2, 3, 4, 4, 4, 5, 6, 7, 8]
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:])) and rows[0].start == 0
+    empty = zlib.crc32(np.array([1], dtype="<u4").tobytes())
+    assert [(r.n_tokens, r.ids_crc32) for r in rows if r.doc_id in (1, 2)] == [(1, empty)] * 2 and by_id(rows)[7].ids_crc32 == by_id(rows)[8].ids_crc32
+
+
+def odd_kn_quality(rows):
+    got = by_id(rows)
+    assert {i: got[i].n_tokens for i in WORDS} == WORDS and all(got[i].log_ppl is None and not got[i].kept for i in (1, 2, 3))
+    assert got[6].kept and got[None].kept and got[7].log_ppl == got[8].log_ppl and all(r.log_ppl is None or r.log_ppl > 0 for r in rows)
+
+
+def odd_mixing(rows):
+    got = by_id(rows)
+    assert {i: got[i].mix_size for i in WORDS} == WORDS and all(0 <= r.mix_times <= 3 for r in rows)
+    for source in (None, "a", "b"):
+        own = [r for r in rows if r.source == source]
+        assert {r.mix_source_size for r in own} == {sum(r.mix_size for r in own)} and len({r.mix_target for r in own}) == 1
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_odd_rows_each_get_an_answer(spark, name):
     df = odd(spark)
-    assert OPERATORS[name](spark, df).count() == df.count()
+    out = OPERATORS[name](spark, df)
+    rows = out.collect()
+    assert len(rows) == df.count()
+    globals()[f"odd_{name}"](rows)
 
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_an_empty_table_gives_an_empty_result(spark, name):
-    assert OPERATORS[name](spark, odd(spark).limit(0)).count() == 0
+    out = OPERATORS[name](spark, odd(spark).limit(0))
+    assert out.count() == 0
+    assert set(TYPES[name].split(", ")) <= {f"{n} {t}" for n, t in out.dtypes}, out.dtypes
 
 
 def test_stages_keep_columns_of_any_name(spark):
