@@ -238,8 +238,8 @@ class Scanner:
             out = df if out is None else out.unionByName(df)
         return out
 
-    def inlined(self, t: TableInfo, condition: str | None = None, positions: bool = False, snapshot: str | None = None) -> DataFrame | None:
-        """Rows kept in the catalog that are visible (or meet a condition on begin_snapshot and end_snapshot). snapshot: which of these is given as _snapshot_id."""
+    def inlined_rows(self, t: TableInfo, condition: str | None = None, snapshot: str | None = None) -> list[tuple]:
+        """Values, INLINE name and row id of rows kept in the catalog; see inlined()."""
 
         def query(tx: Transaction) -> list[tuple]:
             out = []
@@ -249,7 +249,11 @@ class Scanner:
                     out.append((*values, INLINE + r["table_name"], row["row_id"], *((row[snapshot],) if snapshot else ())))
             return out
 
-        rows = self.store.read(query)
+        return self.store.read(query)
+
+    def inlined(self, t: TableInfo, condition: str | None = None, positions: bool = False, snapshot: str | None = None) -> DataFrame | None:
+        """Rows kept in the catalog that are visible (or meet a condition on begin_snapshot and end_snapshot). snapshot: which of these is given as _snapshot_id."""
+        rows = self.inlined_rows(t, condition, snapshot)
         if not rows:
             return None
         schema = T.StructType([*t.spark_schema().fields, T.StructField(FILE, T.StringType()), T.StructField(POS, T.LongType()), *([T.StructField("_snapshot_id", T.LongType())] if snapshot else [])])
