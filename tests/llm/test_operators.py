@@ -321,6 +321,68 @@ def test_more_spans_are_added_and_base_ones_stay(spark):
     assert "x@y.org" not in pii.redact(frame(spark, [(1, text)])).first().text
 
 
+def brute_votes(t):
+    """Candidates (kind, start, end), votes in the order of VOTERS, and buckets, of a text."""
+    import regex
+
+    found = [(k, m.start(), m.end(), m[0]) for k, r in enumerate(pii.BASE.values()) for m in regex.finditer(r, t)]
+    for m in regex.finditer("|".join(f"(?:{b}{x}{a})" for b, x, a in pii.MORE.values()), t):
+        kind = next(i for i, (_, x, _) in enumerate(pii.MORE.values()) if regex.fullmatch(x, m[0]))
+        found.append((4 + kind, m.start(), m.end(), m[0]))
+    valid_base, out = brute_spans(t), []
+    for k, s, e, m in found:
+        digits = re.sub("[^0-9]", "", m)
+        year = re.search("[12][0-9]{3}", m)
+        valid = [None] * 4 + [not re.match("000|666|9", m) and not re.search("-00-|-0000$", m), 15 <= len(m.replace(" ", "")) <= 34, digits[:1] not in "01", bool(year) and "1900" <= year[0] <= "2030", bool(re.search("[0-9]", m)) and bool(re.search("[A-Za-z]", m)) and len(set(m)) >= 8, True]
+        shape = (s, k, e) in valid_base if k < 4 else valid[k]
+        known = {0: int(bool(re.search(r"[.](com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|ch|at|us)$", m.lower()))), 1: -int(bool(re.match(r"(0|127|255)[.]", m))), 2: 1 if re.match("4|5[1-5]|2[2-7]|3[47]|6", m) else -1}
+        known[3] = 1 if re.match(r"[+](1|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])", m) else -1
+        known[5] = 1 if re.match("DE|FR|ES|IT|GB|NL|BE|AT|CH|PT|IE|PL|SE|DK|FI|NO|LU", m) else -1
+        known[8] = int(bool(re.match("AKIA|ghp_|sk-|xox|eyJ", m)))
+        cue = re.search(pii.CUES[pii.KINDS[k]], t[max(0, s - 32) : s].lower()) is not None
+        fake = re.search(r"(?i)x{4}|0{6}|123456|(.)\1{6}", m) is not None
+        free = not (s and t[s - 1].isalnum()) and not (e < len(t) and t[e].isalnum())
+        bucket = sum(e - s >= n for n in (12, 17, 30))
+        out.append(((k, s, e), (1 if shape else -1, known.get(k, 0), int(cue), -int(fake), 1 if free else -1), (bucket, min(3, 4 * len(digits) // (e - s)))))
+    return out
+
+
+def test_added_spans_equal_brute_force(spark):
+    rng = random.Random(21)
+    pieces = ["ssn 123-45-6789", "000-12-3456", "iban DE89370400440532013000", "XX00 1234 5678 9012 3456", "call (212) 555-0199", "111-222-3333", "born 12/05/1980", "99/99/2999", "token a9f8e7d6c5b4a3928170ffee00", "aaaaaaaaaaaaaaaaaaaaaaa1", "sk-1234567890abcdefghij", "Dr. Anna Smith", "name Mr. Bob Stone", "mail x@y.org", "a@b.zz", "10.0.0.1", "999.1.1.1", "card 4111 1111 1111 1111", "1234 5678 9012 3456 7", "+1 (212) 555-0199", "+999 1", "plain words", "x1980-02-30y"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 6))) for _ in range(150)]
+    cands = [brute_votes(t) for t in texts]
+    counts = collections.Counter((c[0], v, b) for found in cands for c, v, b in found)
+    kinds, votes, n = [p[0] for p in counts], np.array([p[1] for p in counts]), np.array(list(counts.values()), dtype=float)
+    post = 1 / (1 + np.exp(-1.5 * votes.sum(1)))
+    for _ in range(40):
+        weight = np.stack([(1 - post) * n, post * n])
+        prior = np.ones((10, 2))
+        np.add.at(prior, kinds, weight.T)
+        like = np.log(prior[kinds, 1] / prior[kinds, 0])
+        for v in range(5):
+            seen = 1 + np.array([[weight[z][votes[:, v] == x].sum() for x in (-1, 0, 1)] for z in (0, 1)])
+            seen /= seen.sum(1, keepdims=True)
+            like += np.log(seen[1] / seen[0])[votes[:, v] + 1]
+        post = 1 / (1 + np.exp(-np.clip(like, -30, 30)))
+    names = sorted({f for k, v, b in counts for f in enumerate((k, *b, *v))})
+    x = np.array([[f in set(enumerate((k, *b, *v))) for f in names] for k, v, b in counts], dtype=float)
+    w = np.zeros(len(names))
+    for _ in range(300):
+        w = w + 0.5 * 4 * (x.T @ ((post - 1 / (1 + np.exp(-x @ w))) * n / n.sum()) - 1e-3 * w)
+    chosen = dict(zip(counts, x @ w))
+    # a threshold between the two log odds that are farthest apart
+    odds = sorted({round(v, 9) for (k, _, _), v in chosen.items() if k >= 4})
+    gap, cut = max((y - x, (x + y) / 2) for x, y in zip(odds, odds[1:]))
+    assert gap > 1e-3
+    found = pii.find_pii(frame(spark, list(enumerate(texts))), threshold=1 / (1 + math.exp(-cut)))
+    got = {r.doc_id: [tuple(y) for y in r.spans] for r in found.collect()}
+    for i, t in enumerate(texts):
+        base = brute_spans(t)
+        more = [(s, k, e) for (k, s, e), v, b in cands[i] if k >= 4 and chosen[k, v, b] >= cut and not any(bs < e and s < be for bs, _, be in base)]
+        assert got[i] == sorted(base + more), t
+
+
 # ---- 3: licences
 
 
@@ -707,6 +769,26 @@ def test_all_trusted_rows_are_counted(spark, monkeypatch):
                 p = o(x[2 - k :], p)
             total -= math.log10(p)
         assert r.n_tokens == len(s) - 3 and (r.log_ppl is None if len(s) == 3 else math.isclose(r.log_ppl, total / (len(s) - 2), rel_tol=1e-6))
+    held = sorted(r.log_ppl for r in got if r.doc_id < 1700 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and r.n_tokens >= 5)
+    low, mid, high = (held[max(0, math.ceil(q * len(held)) - 1)] for q in (0.01, 0.5, 0.98))
+    low, high = low - 0.5 * (mid - low), high + 0.5 * (high - mid)
+    for r in got:
+        assert math.isclose(r.low, low) and math.isclose(r.high, high)
+        assert r.kept == (r.log_ppl is not None and (r.n_tokens < 5 or low <= r.log_ppl <= high))
+    assert {r.kept for r in got if r.n_tokens >= 5} == {True, False}
+
+
+def test_languages_have_thresholds_of_their_own(spark):
+    rng = random.Random(16)
+    rows = [(i, " ".join(rng.choices([f"{lang}{j}" for j in range(30)], k=10)), lang) for i, lang in ((i, "ab"[i % 2]) for i in range(800))] + [(900 + i, "a1 a2 a3 a4 b1 b2", "c") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = kn_quality.quality(docs, labels(spark, [(i, 1, 0) for i in range(905)])).collect()
+    cuts = {lang: {(r.low, r.high) for r in got if r.lang == lang} for lang in "abc"}
+    assert all(len(x) == 1 for x in cuts.values()) and len(set.union(*cuts.values())) == 3
+    for lang, own in (("a", "a"), ("b", "b"), ("c", "abc")):  # c has too few of its own
+        held = sorted(r.log_ppl for r in got if r.lang in own and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and r.n_tokens >= 5)
+        low, mid, high = (held[max(0, math.ceil(q * len(held)) - 1)] for q in (0.01, 0.5, 0.98))
+        assert np.allclose(sorted(cuts[lang])[0], (low - 0.5 * (mid - low), high + 0.5 * (high - mid)))
 
 
 def test_clean_text_stays_and_junk_goes(spark):
@@ -759,5 +841,41 @@ def test_mixture_meets_its_targets_and_repeats(spark):
         assert abs((g.mix_size * g.mix_times).sum() - g.mix_target.iloc[0]) <= max(2, 0.02 * g.mix_target.iloc[0])
 
 
+def test_which_documents_a_mixture_takes(spark):
+    rng = random.Random(14)
+    rows = [(i, " ".join("w" * rng.choice([0, 1, 2, 3, 5, 8, 13])) or None, "en", rng.choice(["a", "b", "c", "d", None, "e"])) for i in range(400)]
+    rows += [(900, "x " * 300, "en", "big")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    h = {r.doc_id: r.h % (1 << 64) for r in docs.select("doc_id", F.xxhash64(F.lit(17), F.col("doc_id")).alias("h")).collect()}
+    got = mixing.mix(docs.select("doc_id", "text", "source")).collect()
+    sources = sorted({r.source for r in got}, key=lambda x: (x is None, x or ""))
+    total = {x: sum(r.mix_size for r in got if r.source == x) for x in sources}
+    weight = {x: 1 + i % 3 for i, x in enumerate(sources)}
+    target, rest = {}, sum(total.values())
+    while True:  # sources above their cap stop there, the others share what is left
+        open_ = [x for x in sources if x not in target]
+        share = {x: rest * weight[x] / sum(weight[y] for y in open_) for x in open_}
+        full = [x for x in open_ if share[x] > 3 * total[x]]
+        if not full:
+            target |= share
+            break
+        for x in full:
+            target[x] = 3.0 * total[x]
+            rest -= target[x]
+    for x in sources:
+        own = [r for r in got if r.source == x]
+        assert {r.mix_source_size for r in own} == {total[x]} and math.isclose(own[0].mix_target, target[x])
+        passes = min(3, int(target[x] // total[x]))
+        budget = 0 if passes == 3 else round(target[x] - passes * total[x])
+        sums = {0}
+        for r in own:
+            sums |= {y + r.mix_size for y in sums if y + r.mix_size <= budget}
+        assert sum(r.mix_size * (r.mix_times - passes) for r in own) == max(sums)
+        for size in {r.mix_size for r in own if r.mix_size}:
+            same = sorted((r for r in own if r.mix_size == size), key=lambda r: (h[r.doc_id], r.doc_id))
+            more = [r.mix_times - passes for r in same]
+            assert more == sorted(more, reverse=True) and set(more) <= {0, 1}
+
+
 def test_digest_of_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
