@@ -3,11 +3,11 @@
 Every source has a budget in words. Whole passes over the source come first; the rest of the budget is fitted exactly, or
 as nearly as sums of lengths allow, by choosing how many documents of each exact length to add: a proportional share of
 every length, then a bounded-knapsack dynamic program over what that leaves. Which documents of a length are taken
-follows from a seeded hash of doc_id, so reruns agree.
+follows from a seeded hash of doc_id and text, so reruns agree.
 
 Defined cases: a null or blank text has size 0 and is taken 0 words. A null source is a source of its own, last in the
-order. Rows that repeat a doc_id in one length of a source are taken together, so such a source may exceed its budget by them. A source without
-words has target 0. An empty table gives an empty result. Other columns are kept; those added start with mix_, and
+order. Rows of a source that repeat a doc_id and its text are taken together, so such a source may exceed its budget by them; other texts of
+a doc_id are documents of their own. A source without words has target 0. An empty table gives an empty result. Other columns are kept; those added start with mix_, and
 repeat_documents() keeps columns of any name.
 """
 
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[float, ...] = (1, 2, 3),
 
     The plan has a row for each length of each source and is joined to the documents, so their texts are not shuffled while it is small.
     """
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     sized = materialize(docs.select("doc_id", "source", word_count().alias("size"), h.alias("h")), "sized")
     lengths = materialize(plan(sized, weights, cap), "plan")
     found = small(materialize(cuts(sized, lengths).select(*(F.col(c).alias(f"_plan_{c}") for c in ("source", "size", "source_size", "target", "passes", "cut_u", "cut_h", "cut_id"))), "cuts"), 500_000)

@@ -841,12 +841,20 @@ def test_mixture_meets_its_targets_and_repeats(spark):
         assert abs((g.mix_size * g.mix_times).sum() - g.mix_target.iloc[0]) <= max(2, 0.02 * g.mix_target.iloc[0])
 
 
+def test_texts_that_repeat_a_doc_id_are_documents_of_their_own(spark):
+    rows = [(i % 7, " ".join([f"t{i}"] * 3), "en", "ab"[i % 2]) for i in range(500)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "source")).collect()
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.mix_size * r.mix_times for r in own) - own[0].mix_target) < 3
+
+
 def test_which_documents_a_mixture_takes(spark):
     rng = random.Random(14)
     rows = [(i, " ".join("w" * rng.choice([0, 1, 2, 3, 5, 8, 13])) or None, "en", rng.choice(["a", "b", "c", "d", None, "e"])) for i in range(400)]
     rows += [(900, "x " * 300, "en", "big")]
     docs = spark.createDataFrame(rows, SCHEMA)
-    h = {r.doc_id: r.h % (1 << 64) for r in docs.select("doc_id", F.xxhash64(F.lit(17), F.col("doc_id")).alias("h")).collect()}
+    h = {r.doc_id: r.h % (1 << 64) for r in docs.select("doc_id", F.xxhash64(F.lit(17), "doc_id", "text").alias("h")).collect()}
     got = mixing.mix(docs.select("doc_id", "text", "source")).collect()
     sources = sorted({r.source for r in got}, key=lambda x: (x is None, x or ""))
     total = {x: sum(r.mix_size for r in got if r.source == x) for x in sources}
