@@ -17,8 +17,8 @@ from .paths import qualify_all
 #: Columns that a positioned scan adds: the file as Spark names it, and the row's place in it.
 FILE, POS = "__file", "__pos"
 INLINE = "inline:"
-#: Deleted positions up to this many are broadcast against the files that have deletes; more are joined by a shuffle.
-BROADCAST_DELETES = 1_000_000
+#: Deleted positions of about so many bytes (each has its file's path) are broadcast against the files that have deletes; more are joined by a shuffle.
+BROADCAST_DELETES = 64 << 20
 #: Files of the lists that are kept, about.
 KEPT_FILES = 1_000_000
 
@@ -219,7 +219,7 @@ class Scanner:
         names = self.spark.createDataFrame(list(zip(qualified, data, strict=True)), f"_delete string, {FILE} string")
         rows = self.spark.read.schema("row_id long").parquet(*sorted({d for d, _ in deletes}))
         found = rows.select(F.col("row_id").alias(POS), F.col("_metadata.file_path").alias("_delete")).join(F.broadcast(names), "_delete").select(FILE, POS)
-        return F.broadcast(found) if count <= BROADCAST_DELETES else found
+        return F.broadcast(found) if count * (16 + max(map(len, data), default=0)) <= BROADCAST_DELETES else found
 
     def rows_of(self, t: TableInfo, files: list[DataFile], positions: bool = False, deleted: bool = False) -> DataFrame | None:
         """The rows of files that are not deleted, or with deleted the others only; None without files."""
