@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, framed, hashed, materialize, mix64, restored, shielded, small
+from .common import discard, fold, framed, hashed, materialize, mix64, restored, shielded, small
 from .lookup import Table
 
 #: Values of n-grams that the tasks hold.
@@ -145,6 +145,7 @@ def train(rows: DataFrame) -> Model | None:
     uni = materialize(bi.groupBy("w").agg(F.count("*").alias("c")), "unigrams")
     total = uni.agg(F.sum("c").alias("s"), F.count("*").alias("n")).first()
     if not total["n"]:
+        discard(tri, bi, uni)
         return None
     shares3, ctx3 = _order(tri, ["u", "v"])
     shares2, ctx2 = _order(bi, ["v"])
@@ -152,7 +153,7 @@ def train(rows: DataFrame) -> Model | None:
     unknown = uni.agg(F.sum(_discount(d))).first()[0] / total["s"] / (total["n"] + 1)
     one = uni.withColumn("p1", (F.col("c") - _discount(d)) / F.lit(float(total["s"])) + F.lit(unknown))
     two = shares2.join(one.select("w", "p1"), "w").withColumn("p2", F.col("share") + F.col("weight") * F.col("p1"))
-    two = materialize(two.select("v", "w", "c", "p2", F.log10(F.col("p2") / F.col("weight") / F.col("p1")).alias("own")), "two")
+    known = two = materialize(two.select("v", "w", "c", "p2", F.log10(F.col("p2") / F.col("weight") / F.col("p1")).alias("own")), "two")
     three = shares3.join(two.select("v", "w", "p2"), ["v", "w"])
     zero = F.lit(0.0)
     three = three.select("u", "v", "w", "c", F.log10(1 + F.col("share") / F.col("weight") / F.col("p2")).alias("own"), zero.alias("after"))
@@ -164,7 +165,9 @@ def train(rows: DataFrame) -> Model | None:
     two = merged(two.drop("p2"), ctx3.select(F.col("u").alias("v"), F.col("v").alias("w"), "total", "weight"), ["v", "w"])
     one = merged(one.select("w", "c", F.log10(F.col("p1") / F.lit(unknown)).alias("own")), ctx2.select(F.col("v").alias("w"), "total", "weight"), ["w"])
     values = _keyed(three, ["u", "v", "w"]).unionByName(_keyed(two, ["v", "w"])).unionByName(_keyed(one, ["w"]))
-    return Model(materialize(values, "values"), unknown)
+    values = materialize(values, "values")
+    discard(tri, bi, uni, ctx3, ctx2, known)
+    return Model(values, unknown)
 
 
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
@@ -226,12 +229,15 @@ def thresholds(scored: DataFrame, labels: DataFrame, upper: float, lower: float,
 
 def quality(docs: DataFrame, labels: DataFrame, upper: float = 0.98, lower: float = 0.01, slack: float = 0.5, min_docs: int = 30, min_tokens: int = 5) -> DataFrame:
     """docs with n_tokens, log_ppl, low, high and kept; columns of these names must be shielded."""
-    model = train(materialize(trusted_rows(docs, labels), "trusted"))
+    texts = materialize(trusted_rows(docs, labels), "trusted")
+    model = train(texts)
+    discard(texts)
     if model is None:
         blank = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")), F.lit(0)) == 0
         none = F.lit(None).cast("double")
         return docs.select("*", F.lit(0).cast("long").alias("n_tokens"), none.alias("log_ppl"), none.alias("low"), none.alias("high"), (~blank).alias("kept"))
     scored = perplexities(docs, model)
+    discard(model.values)
     by, (low, high) = thresholds(scored, labels, upper, lower, slack, min_docs, min_tokens)
     out = scored.join(small(materialize(by, "thresholds"), 100_000), F.col("lang") == F.col("_lang"), "left").drop("_lang")
     out = out.withColumn("low", F.coalesce("low", F.lit(low))).withColumn("high", F.coalesce("high", F.lit(high)))

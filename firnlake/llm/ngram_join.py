@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed, materialize, mix64, restored, shielded, small
+from .common import discard, hashed, materialize, mix64, restored, shielded, small
 from .components import components
 from .lookup import Table
 
@@ -245,13 +245,14 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray,
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(much.sum(), kind, dtype=np.int32)), pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["kind", "h", "c"])
 
     counts = docs.select("text").mapInArrow(count, "kind int, h long, c long").groupBy("kind", "h").agg(F.sum("c").alias("c"))
-    counts = materialize(counts.filter("c >= 100 OR kind = 1"), "frequent")
+    counts = kept = materialize(counts.filter("c >= 100 OR kind = 1"), "frequent")
     out = []
     for kind in (0, 1):
         t = counts.filter(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).select("h", "c").toArrow()
         h, c = t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()
         order = np.argsort(h)
         out.append((h[order], c[order]))
+    discard(kept)
     return *out[0], Table(*out[1])
 
 
@@ -459,6 +460,7 @@ def hot_keys(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     total = counts.filter("h IS NULL").first()
     least = max(HOT_ROWS, HOT_SHARE * (total["c"] if total else 0))
     t = counts.filter((F.col("c") >= least) & F.col("h").isNotNull()).toArrow()
+    discard(counts)
     h, c = t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()
     order = np.argsort(h)
     return h[order], (c[order] // int(least) + 1).astype(np.int64)
@@ -688,11 +690,13 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     edges = materialize(edges.unionByName(joined_heads(found, percent)), "edges")
     roots = materialize(components(edges), "roots")
 
-    alive = small(materialize(representatives(found, roots), "alive"))
+    alive_ = materialize(representatives(found, roots), "alive")
+    alive = small(alive_)
     rows = found.select(F.col("row").alias("_r"), "doc_id", "n", "prefix", "point").join(alive, F.col("_r") == F.col("row")).drop("_r")
     hot, blocks = hot_keys(rows)
-    met = small(materialize(meetings(rows, percent, hot), "meetings"), 300_000)
-    near = materialize(candidates(met, rows, percent, hot, blocks), "candidates")
+    met = materialize(meetings(rows, percent, hot), "meetings")
+    near = materialize(candidates(small(met, 300_000), rows, percent, hot, blocks), "candidates")
+    discard(met, alive_)
     groups = materialize(components(near.select(F.col("label").alias("a"), F.col("top").alias("b"))), "groups")
     sizes = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.sum("n").alias("n"))
     members_ = near.select("doc_id", "label").distinct().join(small(groups), F.col("label") == F.col("node"), "left")
@@ -700,9 +704,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     members_ = materialize(members_, "blocks")
     tiles = members_.groupBy(F.col("block").alias("_block")).agg((F.sum("n") / F.lit(TILE)).cast("long").alias("t"))
     tiled = members_.join(small(materialize(tiles, "tiles")), F.col("block") == F.col("_block")).select("doc_id", "label", "block", (F.col("t") + 1).alias("tiles"))
-    links_ = materialize(verify(docs, materialize(tiled, "tiled"), k, percent), "links")
+    tiled = materialize(tiled, "tiled")
+    links_ = materialize(verify(docs, tiled, k, percent), "links")
 
-    edges = materialize(edges.unionByName(links_), "edges")
+    before, edges = edges, materialize(edges.unionByName(links_), "edges")
+    discard(near, groups, members_, tiled, links_, before)
     roots = small(materialize(components(edges), "roots"))
     named = found.select("doc_id", "n", "label").join(roots, F.col("label") == F.col("node"), "left").select("doc_id", "n", F.coalesce("root", "label").alias("root"))
     least = materialize(named.groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("least")), "least")
