@@ -187,7 +187,9 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, block
 
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # texts of one doc_id come by their hashes, so that a doc_id that repeats much is dealt to several tasks
+    ranged = ranged.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
