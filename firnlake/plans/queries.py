@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import LakeError
 from ..lake import Lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,8 @@ class Bench:
     def __init__(self, spark: SparkSession, sf_dir: str, inline_limit: int = 0) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise LakeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         self.dir = tempfile.mkdtemp(prefix="firnlake-")
         data = f"{shared.rstrip('/')}/firnlake-{uuid.uuid4().hex}" if shared else f"{self.dir}/data"
         self.shared = data + "-more"

@@ -5,7 +5,7 @@ from firnlake import Lake
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -13,6 +13,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
@@ -26,7 +27,7 @@ def lake(spark, tmp_path):
 
 @pytest.fixture
 def names(lake):
-    """A table of 20 rows (i, "name_i", 10 i) in two files."""
+    """A table of 20 rows (i, "name_i", 10 i) in two files of ten."""
 
     def rows(a, b):
         return lake.spark.createDataFrame([(i, f"name_{i}", i * 10.0) for i in range(a, b)], "id int, name string, value double")
