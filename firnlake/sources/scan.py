@@ -127,6 +127,7 @@ class Scanner:
         self.spark, self.store = spark, store
         self._tables: dict[tuple[str, int], TableInfo] = {}
         self._files: dict[tuple[int, int], list[DataFile]] = {}
+        self.shapes: dict[tuple[int, int, int], DataFrame] = {}
         spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
         spark.conf.set("spark.sql.parquet.fieldId.write.enabled", "true")
         spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
