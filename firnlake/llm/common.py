@@ -47,11 +47,21 @@ def discard(*tables: DataFrame) -> None:
         remove(t.sparkSession, t.scratch)
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage and survives lost executors."""
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, what: str, tidy: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it again: cuts the lineage and survives lost executors. tidy: the files of the write's own shuffles are deleted after it."""
     ship(df.sparkSession)
-    path = scratch_path(df.sparkSession, what)
-    df.write.option("compression", "zstd").parquet(path)
+    path, conf = scratch_path(df.sparkSession, what), df.sparkSession.conf
+    before = conf.get(TIDY, None)
+    if tidy:
+        conf.set(TIDY, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if tidy:
+            conf.unset(TIDY) if before is None else conf.set(TIDY, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

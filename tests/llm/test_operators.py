@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import firnlake.llm.brown_lm as brown
 import firnlake.llm.ngram_join as join
-from firnlake.llm import decontam, kn_quality, licenses, mixing, pii, quality_rules, simple8b, toxicity
+from firnlake.llm import common, decontam, kn_quality, licenses, mixing, pii, quality_rules, simple8b, toxicity
 from firnlake.llm.common import hashed, hashes_of
 from firnlake.llm.components import components
 from firnlake.llm.lookup import Table
@@ -725,6 +726,21 @@ def test_words_whose_lower_case_has_marks():
         assert np.frombuffer(encoder(text), dtype=np.uint32).tolist() == encoder.tok.encode(text, add_special_tokens=False).ids
 
 
+def test_pack_takes_the_most_ids_that_fit():
+    rng = random.Random(3)
+    for _ in range(60):
+        n, top = rng.randint(0, 200), rng.choice([1, 4, 9, 17, 31, 33, 60, 61, 64])
+        ids = [rng.getrandbits(rng.randint(1, top)) for _ in range(n)]
+        words, escaped = simple8b.pack(np.array(ids, dtype=np.uint64))
+        sels, at = [], 0
+        while at < n:
+            of = [s for s in range(1, 15) if at + simple8b.COUNTS[s] <= n and all(x >> simple8b.WIDTHS[s] == 0 for x in ids[at : at + simple8b.COUNTS[s]])]
+            sels.append(max(of, default=0))
+            at += simple8b.COUNTS[sels[-1]]
+        assert (words >> np.uint64(60)).tolist() == sels
+        assert simple8b.unpack(words, escaped, n).tolist() == ids
+
+
 # ---- 9: quality classifier
 
 
@@ -778,6 +794,36 @@ def test_all_trusted_rows_are_counted(spark, monkeypatch):
     assert {r.kept for r in got if r.n_tokens >= 5} == {True, False}
 
 
+def test_training_and_scoring_leave_little_on_disk(spark, monkeypatch):
+    # tables and blocks of shuffles stay under twice the text, where hashes of every n-gram took several times as much
+    rng, seen = random.Random(8), []
+    vocab = [f"word{int(rng.paretovariate(0.7))}" for _ in range(20_000)]
+    rows = [(i, " ".join(rng.choices(vocab, k=400))) for i in range(2000)]
+    text = sum(len(t) for _, t in rows)
+    monkeypatch.setattr(kn_quality, "materialize", lambda df, what, **kw: seen.append((what, common.materialize(df, what, **kw))) or seen[-1][1])
+    sizes, gone = [], kn_quality.discard
+
+    def size(path):
+        return sum(f.stat().st_size for f in Path(path.removeprefix("file://")).rglob("*.parquet"))
+
+    def discard(*tables):
+        sizes.append(sum(size(df.scratch) for _, df in seen))
+        gone(*tables)
+
+    monkeypatch.setattr(kn_quality, "discard", discard)
+    got = kn_quality.quality(frame(spark, rows).select("doc_id", "text", "lang"), labels(spark, [(i, 1, 0) for i in range(2000)]))
+    assert got.count() == 2000 and max(sizes) < text
+    blocks = kn_quality.squeeze(*(np.sort(np.array(rng.choices(range(5000), k=5000), dtype=np.uint64)) for _ in range(4)))
+    assert len(blocks) < 4 * 5000 * 2
+
+
+def test_blocks_give_back_what_they_took():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 5000):
+        columns = [rng.integers(0, 1 << bits, n, dtype=np.uint64) for bits in (1, 20, 63, 9)]
+        assert all((a == b).all() for a, b in zip(columns, kn_quality.spread(kn_quality.squeeze(*columns), 4), strict=True))
+
+
 def test_languages_have_thresholds_of_their_own(spark):
     rng = random.Random(16)
     rows = [(i, " ".join(rng.choices([f"{lang}{j}" for j in range(30)], k=10)), lang) for i, lang in ((i, "ab"[i % 2]) for i in range(800))] + [(900 + i, "a1 a2 a3 a4 b1 b2", "c") for i in range(5)]
