@@ -47,21 +47,22 @@ def discard(*tables: DataFrame) -> None:
         remove(t.sparkSession, t.scratch)
 
 
-TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What a tidy write sets for itself: its shuffles' files are deleted after it, and Python workers get few rows at a time.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def materialize(df: DataFrame, what: str, tidy: bool = False) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage and survives lost executors. tidy: the files of the write's own shuffles are deleted after it."""
+    """Write df to the shared folder and read it again: cuts the lineage and survives lost executors. tidy: less is held, see TIDY."""
     ship(df.sparkSession)
     path, conf = scratch_path(df.sparkSession, what), df.sparkSession.conf
-    before = conf.get(TIDY, None)
-    if tidy:
-        conf.set(TIDY, "true")
+    before = {k: conf.get(k, None) for k in TIDY if tidy}
     try:
+        for k in before:
+            conf.set(k, TIDY[k])
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        if tidy:
-            conf.unset(TIDY) if before is None else conf.set(TIDY, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
@@ -72,6 +73,19 @@ def small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def release() -> None:
+    """Give memory that a Python worker has freed back to the system, where the C library can; workers stay for later tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):
+        pass
+
+
 def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
     """docs with every column but the used ones renamed out of the way, and the names to give back by restored()."""
     names = {c: c if c in used else f"_own_{i}" for i, c in enumerate(docs.columns)}

@@ -28,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, fold, framed, hashed, materialize, mix64, restored, shielded, small
+from .common import discard, fold, framed, hashed, materialize, mix64, release, restored, shielded, small
 from .lookup import Table
 
 #: Words that have a number, parts of the words that are scored one after another, and words of texts whose trigrams a task deals to shards at once.
-HELD, SLICES, CHUNK = 1_000_000, 3, 3 << 20
+HELD, SLICES, CHUNK = 1_000_000, 3, 3 << 19
 #: The bit that a hashed word has set, and what stands for the neighbours of a word that is asked for alone.
 HASHED, ONE = np.uint64(1 << 63), np.uint64(1 << 62)
 #: What stands for words that training texts lack, and the most hashed words that tasks hold a filter of.
@@ -215,12 +215,14 @@ def numbered(rows: DataFrame) -> Words:
                 for x, of in ((s, 1), (own, 2)):
                     w, c = np.unique(x, return_counts=True)
                     found.append([w, c * (of == 1), c * (of == 2)])
-                if sum(len(w) for w, _, _ in found[1:]) > HELD // 3:
+                if sum(len(w) for w, _, _ in found[1:]) > HELD // 4:
                     found = [merged(found)]
         if found and any(len(w) for w, _, _ in found):
             w, n, t = merged(found)
             often = n > 1
             yield pa.RecordBatch.from_arrays([pa.array(w[often].view(np.int64)), pa.array(n[often]), pa.array(t[often])], ["w", "n", "t"])
+            del found, w, n, t, often
+        release()
 
     counts = rows.select("text", "train").mapInArrow(count, "w long, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     counts = materialize(counts, "words", tidy=True)
@@ -275,6 +277,8 @@ def bigram_counts(rows: DataFrame, words) -> DataFrame:
                 held, size = [], 0
         if held:
             yield _blocks(list(trained(words.value, 0, *joined(held))))
+            del held
+        release()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [undealt(x.as_py()) for b in batches for x in b.column(3)]
@@ -410,11 +414,13 @@ def _pair_blocks(pairs: DataFrame, words, part: int) -> DataFrame:
 
         held, size = [], 0
         for b in batches:
+            if not b.num_rows:
+                continue
             columns = [b.column(i).to_numpy().view(np.uint64) for i in range(4)]
             mine = slice_of(columns[0]) == part
             held.append([x[mine] for x in columns])
             size += int(mine.sum())
-            if size >= CHUNK // 6:
+            if size >= CHUNK // 3:
                 yield out(held)
                 held, size = [], 0
         if size:
@@ -469,8 +475,11 @@ def _text_blocks(model: Model, rows: DataFrame, part: int, ask: bool = True) ->
                 yield from out(k, training, asked, docs)
                 k, size, base = k + 1, 0, 0
                 training, asked, docs = [], [], []
+                release()
         if training:
             yield from out(k, training, asked, docs)
+            del training, asked, docs
+        release()
 
     return rows.mapInArrow(deal, BLOCKS)
 
@@ -530,6 +539,8 @@ def _scorer(discounts: list[np.ndarray], total: float, unknown: float, parts: in
             sums = np.bincount(row, weights=value)
             rows = np.flatnonzero(np.bincount(row))
             yield _blocks([(chunk_part(chunk, parts), SUMS + TaskContext.get().partitionId(), chunk, squeeze(np.diff(rows, prepend=0), sums[rows]))])
+        del ones, twos, threes, contexts, keys, place, at, u, v, w, c, got
+        release()
 
     return score
 
