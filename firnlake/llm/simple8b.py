@@ -39,20 +39,25 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     ids = ids.astype(np.uint64, copy=False)
     step, pick = np.ones(n, dtype=np.int64), np.ones(n, dtype=np.uint64)
-    at = np.arange(n, dtype=np.int64)
     wide = ids >> np.uint64(60) != 0
     pick[wide] = 0
-    top = int(ids.max(initial=0))
+    # how many widths are too narrow for each id, and the most of that among the next 1, 2, 4… ids
+    narrow, top = np.zeros(n, dtype=np.uint8), int(ids.max(initial=0))
+    values = ids.astype(np.uint32) if top >> 32 == 0 else ids
+    for width in WIDTHS[1:]:
+        if top >> width:
+            narrow += values > values.dtype.type((1 << width) - 1)
+    span, most = 1, {1: narrow}
     for sel in range(2, len(WIDTHS)):
-        width, count = WIDTHS[sel], COUNTS[sel]
+        count = COUNTS[sel]
         if count > n:
             break
-        if top >> width == 0:
-            fits = at <= n - count
-        else:
-            bad = np.where(ids >> np.uint64(width) != 0, at, n)
-            fits = np.minimum.accumulate(bad[::-1])[::-1] - at >= count
-        if not fits.any():
+        while 2 * span <= count:
+            most[2 * span] = np.maximum(most[span][:-span], most[span][span:])
+            span *= 2
+        whole = np.maximum(most[span][: n - count + 1], most[span][count - span : n - span + 1])
+        fits = np.flatnonzero(whole <= len(WIDTHS) - 1 - sel)
+        if not len(fits):
             break
         step[fits], pick[fits] = count, sel
     starts, steps, p = [], step.tolist(), 0
@@ -137,7 +142,7 @@ class WordEncoder:
     rules and given to the tokenizer's model; any other, and a text that holds a special token, goes through Tokenizer.encode.
     """
 
-    def __init__(self, path: str, limit: int = 500_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000) -> None:
         import json
 
         import regex
@@ -162,12 +167,13 @@ class WordEncoder:
         return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def word(self, w: str) -> bytes:
-        if not self.quick or not self.plain(w):
+        if not (self.quick and (w.isascii() and w.isprintable() or self.plain(w))):
             return array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
-        w = w.lower()
-        if w.isalpha():  # after lowering: that of U+0130 has a mark, where the tokenizer parts
-            return self.pieces[w]
-        return b"".join([self.pieces[p] for p in self.parts(w)])
+        low = w.lower()
+        if low.isalpha():  # after lowering: that of U+0130 has a mark, where the tokenizer parts
+            return self.piece(low) if low == w else self.words[low]
+        # a piece of letters is kept as the word that it is, too
+        return b"".join([self.words[p] if p.isalpha() and p == p.lower() else self.pieces[p] for p in self.parts(low)])
 
     def __call__(self, text: str) -> bytes:
         """The ids as native unsigned 32-bit integers."""
