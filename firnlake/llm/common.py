@@ -73,12 +73,18 @@ def small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: What empties the caches that a worker's tasks leave for later ones.
+CACHES: list = []
+
+
 def release() -> None:
-    """Give memory that a Python worker has freed back to the system, where the C library can; workers stay for later tasks."""
+    """Empty a Python worker's caches and give freed memory back to the system, where the C library can; workers stay for other operators' tasks."""
     import ctypes
 
     import pyarrow as pa
 
+    for clear in CACHES:
+        clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -148,18 +148,19 @@ class Words:
 
     def __post_init__(self) -> None:
         numbers = np.arange(len(self.hashes), dtype=np.uint64)
-        self.table = Table(self.hashes, numbers)
+        self.table, self.held = Table(self.hashes, numbers), len(numbers)
         # the most frequent word of each slot is found at once
         self.near, self.number = np.zeros(1 << 16, dtype=np.uint64), np.full(1 << 16, HASHED)
         slots = (self.hashes[::-1] >> np.uint64(48)).astype(np.int64)
         self.near[slots], self.number[slots] = self.hashes[::-1], numbers[::-1]
+        self.hashes = None  # the table has them
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         slots = (hashes >> np.uint64(48)).astype(np.int64)
         out = self.number[slots]
         more = np.flatnonzero(self.near[slots] != hashes)
         at = self.table.find(hashes[more])
-        out[more] = np.where(at >= 0, self.table.values[0][at], hashes[more] | HASHED) if len(self.hashes) else hashes[more] | HASHED
+        out[more] = np.where(at >= 0, self.table.values[0][at], hashes[more] | HASHED) if self.held else hashes[more] | HASHED
         return out
 
     def span(self, v: np.ndarray) -> np.ndarray:
@@ -205,6 +206,7 @@ def numbered(rows: DataFrame) -> Words:
             order, starts = grouped(w)
             return [w[order[starts]], np.add.reduceat(n[order], starts), np.add.reduceat(t[order], starts)]
 
+        release()
         found = []
         for b in batches:
             done = 0

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path
+from .common import CACHES, scratch_path
 
 #: Width in bits of each selector's ids; selector 0 is the escape. As many ids as fit 60 bits share a word.
 WIDTHS = (60, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -119,6 +119,9 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+CACHES.append(_encoder.cache_clear)
+
+
 class _Made(dict):
     """A dictionary that makes what it misses, and is emptied by shrink() beyond its size bound."""
 
