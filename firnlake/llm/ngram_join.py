@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, hashed, materialize, mix64, restored, shielded, small
+from .common import discard, hashed, materialize, mix64, release, restored, shielded, small
 from .components import components
 from .lookup import Table
 
@@ -50,6 +50,8 @@ HOT_ROWS, HOT_SHARE = 50_000, 1e-5
 DEALT, RUN_BYTES, RECENT = 500, 1 << 26, 64
 #: Pairs that are held against the bound at once, and shingles of a block's tile.
 PAIRS, TILE = 1 << 18, 1 << 21
+#: Hashes that a task counts at once, keys of buckets that it counts at once, and bytes of sets that it hands on at once.
+COUNTED, KEYS, HANDED = 1 << 22, 1 << 20, 1 << 23
 
 
 def shingled(texts, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -226,26 +228,55 @@ def flat_pairs(starts: np.ndarray, ends: np.ndarray, label: np.ndarray, n: np.nd
             yield i[ok], j[ok]
 
 
+def summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of several (hashes, counts), and the sums of their counts."""
+    h, c = (np.concatenate(x) for x in zip(*counts, strict=True))
+    h, at = np.unique(h, return_inverse=True)
+    return h, np.bincount(at, weights=c, minlength=len(h)).astype(np.int64)
+
+
 def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, Table]:
-    """Hashes (sorted) and document counts of shingles that batches of documents show to be frequent, and a table of the counts
+    """Hashes (sorted) and document counts of shingles that runs of COUNTED show to be frequent, and a table of the counts
     of words that are: at most MAX_FREQUENT of each."""
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles: list[np.ndarray] = []
+        words: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = size = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            h = np.concatenate(shingles)
+            shingles.clear()
+            h.sort()
+            starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+            pairs = ((h[starts], np.diff(np.append(starts, len(h)))), summed(words))
+            words.clear()
+            for kind, (least, (h, c)) in enumerate(zip((max(4, rows // 250), 4), pairs, strict=True)):
+                much = c >= least
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(much.sum(), kind, dtype=np.int32)), pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["kind", "h", "c"])
+
+        release()  # of what tasks of the operators before left in this worker
         for b in batches:
-            found: tuple[list, list] = ([], [])
+            held: list[np.ndarray] = []
             for s, _, w in shingled(b.column(0), k):
-                found[0].append(s)
-                found[1].append(w.copy())
-            for kind, least in ((0, max(4, b.num_rows // 250)), (1, 4)):
-                if b.num_rows:
-                    h, c = np.unique(np.concatenate(found[kind]), return_counts=True)
-                    found[kind].clear()
-                    much = c >= least
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(much.sum(), kind, dtype=np.int32)), pa.array(h[much].view(np.int64)), pa.array(c[much], pa.int64())], ["kind", "h", "c"])
+                shingles.append(s)
+                held.append(w.copy())
+                size += len(s)
+                rows += 1
+                if size >= COUNTED:
+                    words.append(np.unique(np.concatenate(held), return_counts=True))
+                    held.clear()
+                    yield from told()
+                    rows = size = 0
+            if held:
+                words.append(np.unique(np.concatenate(held), return_counts=True))
+        if rows:
+            yield from told()
+        release()
 
     counts = docs.select("text").mapInArrow(count, "kind int, h long, c long").groupBy("kind", "h").agg(F.sum("c").alias("c"))
-    counts = kept = materialize(counts.filter("c >= 100 OR kind = 1"), "frequent")
+    counts = kept = materialize(counts.filter("c >= 100 OR kind = 1"), "frequent", tidy=True)
     out = []
     for kind in (0, 1):
         t = counts.filter(F.col("kind") == kind).orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).select("h", "c").toArrow()
@@ -319,6 +350,7 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
             empty = np.array([not n for _, n in found], dtype=bool)
             deal[empty] = np.flatnonzero(empty).astype(np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(first.view(np.int64)), pa.array(mix64(deal).view(np.int64)), pa.array([n for _, n in found], pa.int32())], ["doc_id", "text", "first", "deal", "n"])
+        release()
 
     keyed = docs.select("doc_id", "text").mapInArrow(least, "doc_id long, text string, first long, deal long, n int")
     dealt = keyed.repartition(parts, "deal").sortWithinPartitions("first", "n", "doc_id").select("doc_id", "text", "first")
@@ -381,6 +413,7 @@ def members(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts:
                     out, weight = [], 0
         if out:
             yield batch(out)
+        release()
 
     return dealt.mapInArrow(label, "row long, doc_id long, n int, label long, prefix binary, point binary, digest binary, first long, set binary")
 
@@ -423,8 +456,9 @@ def joined_heads(found: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
                         held, weight = [], 0
                 if held:
                     yield run(held)
+            release()
 
-        done = materialize(dealt.mapInArrow(join, "first long, a long, b long, set binary"), "heads")
+        done = materialize(dealt.mapInArrow(join, "first long, a long, b long, set binary"), "heads", tidy=True)
         links_ = done.filter("a <> b").select("a", "b")
         out = links_ if out is None else out.unionByName(links_)
         heads = done.filter("set IS NOT NULL").select("first", "a", "set")
@@ -442,21 +476,34 @@ def representatives(found: DataFrame, roots: DataFrame) -> DataFrame:
 def hot_keys(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Prefix shingles (sorted) with HOT_ROWS rows or more and a HOT_SHARE of all, hence at most 1 / HOT_SHARE of them, and their blocks.
 
-    Counts under four in a batch of rows are left out, so a share near the least may be missed and its bucket stay whole.
+    Counts under four in a run of KEYS are left out, so a share near the least may be missed and its bucket stay whole.
     """
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for b in batches:
-            keys = np.frombuffer(b"".join(b.column(0).to_pylist()), dtype=np.int64)
-            total += len(keys)
-            h, c = np.unique(keys, return_counts=True)
+        total = size = 0
+        held: list[bytes] = []
+
+        def told() -> pa.RecordBatch:
+            h, c = np.unique(np.frombuffer(b"".join(held), dtype=np.int64), return_counts=True)
+            held.clear()
             much = c >= 4
-            yield pa.RecordBatch.from_arrays([pa.array(h[much]), pa.array(c[much], pa.int64())], ["h", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(h[much]), pa.array(c[much], pa.int64())], ["h", "c"])
+
+        for b in batches:
+            for prefix in b.column(0).to_pylist():
+                held.append(prefix)
+                size += len(prefix) // 8
+                if size >= KEYS:
+                    yield told()
+                    total, size = total + size, 0
+        if held:
+            yield told()
+            total += size
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["h", "c"])
 
-    counts = materialize(rows.select("prefix").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "keys")
+    counts = materialize(rows.select("prefix").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "keys", tidy=True)
     total = counts.filter("h IS NULL").first()
     least = max(HOT_ROWS, HOT_SHARE * (total["c"] if total else 0))
     t = counts.filter((F.col("c") >= least) & F.col("h").isNotNull()).toArrow()
@@ -595,6 +642,7 @@ def candidates(met: DataFrame, rows: DataFrame, percent: int, hot: np.ndarray, b
             if len(marked) >= 1_000_000:
                 yield told()
         yield told()
+        release()
 
     return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(search, "doc_id long, label long, top long").distinct()
 
@@ -653,11 +701,12 @@ def verify(docs: DataFrame, blocks: DataFrame, k: int, percent: int) -> DataFram
                     tile = mix64(np.array([block], dtype=np.int64).view(np.uint64)) + np.uint64(min(mine, o) * tiles + max(mine, o))
                     rows.append((int(mix64(tile).view(np.int64)[0]), label, mine, s.tobytes()))
                     weight += s.nbytes
-                    if weight >= RUN_BYTES:
+                    if weight >= HANDED:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
                         rows, weight = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
+        release()
 
     dealt = texts.mapInArrow(sets, "tile long, label long, part long, s binary").repartition(parts, "tile").sortWithinPartitions("tile")
 
@@ -669,6 +718,7 @@ def verify(docs: DataFrame, blocks: DataFrame, k: int, percent: int) -> DataFram
         rows = (x for b in batches for x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
         for _, group in groupby(rows, key=lambda x: x[0]):
             yield told(list(group))
+        release()
 
     return dealt.mapInArrow(hold, "a long, b long")
 
@@ -679,7 +729,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     Two documents link when 100 x intersection >= percent x union of their sets of k-word shingles.
     """
     frequent, counts, words = frequent_shingles(docs, k)
-    found = materialize(members(docs, k, percent, frequent, counts, words), "members")
+    found = materialize(members(docs, k, percent, frequent, counts, words), "members", tidy=True)
     # labels of one document's rows, of equal sets, and of one least shingle's runs
     own = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("label").alias("b"))
     rows_ = own.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("x")).filter("m <> x").select(F.col("a").alias("_a"), "m")
@@ -694,8 +744,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     alive = small(alive_)
     rows = found.select(F.col("row").alias("_r"), "doc_id", "n", "prefix", "point").join(alive, F.col("_r") == F.col("row")).drop("_r")
     hot, blocks = hot_keys(rows)
-    met = materialize(meetings(rows, percent, hot), "meetings")
-    near = materialize(candidates(small(met, 300_000), rows, percent, hot, blocks), "candidates")
+    met = materialize(meetings(rows, percent, hot), "meetings", tidy=True)
+    near = materialize(candidates(small(met, 300_000), rows, percent, hot, blocks), "candidates", tidy=True)
     discard(met, alive_)
     groups = materialize(components(near.select(F.col("label").alias("a"), F.col("top").alias("b"))), "groups")
     sizes = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.sum("n").alias("n"))
@@ -705,7 +755,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     tiles = members_.groupBy(F.col("block").alias("_block")).agg((F.sum("n") / F.lit(TILE)).cast("long").alias("t"))
     tiled = members_.join(small(materialize(tiles, "tiles")), F.col("block") == F.col("_block")).select("doc_id", "label", "block", (F.col("t") + 1).alias("tiles"))
     tiled = materialize(tiled, "tiled")
-    links_ = materialize(verify(docs, tiled, k, percent), "links")
+    links_ = materialize(verify(docs, tiled, k, percent), "links", tidy=True)
 
     before, edges = edges, materialize(edges.unionByName(links_), "edges")
     discard(near, groups, members_, tiled, links_, before)

@@ -236,6 +236,57 @@ def test_join_finds_every_link(spark, monkeypatch, k, percent, block):
     assert got == brute_components(rows, k, percent)
 
 
+def test_join_counts_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(join, "COUNTED", 1 << 16, raising=False)
+    monkeypatch.setattr(common, "HASHED_BYTES", 1 << 16)
+    tasks = []
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, count, schema):  # noqa: N802
+            tasks.append(count)
+            raise StopIteration
+
+    with pytest.raises(StopIteration):
+        join.frequent_shingles(Docs(), 4)
+    rng = np.random.default_rng(1)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 1000, 300))) for _ in range(4000)])
+    tracemalloc.start()
+    for b in tasks[0](iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+        assert b.num_columns == 3
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20  # 4,000 x 297 shingles are 9.5 MB, and were held several times
+
+
+def test_join_counts_are_those_of_many_batches(spark, monkeypatch):
+    monkeypatch.setitem(common.TIDY, "spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    monkeypatch.setattr(join, "HOT_ROWS", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        docs = frame(spark, [(i, f"w{i % 10} and x{i}") for i in range(60)]).coalesce(1)
+        assert join.frequent_shingles(docs, 4)[2].get(hashes_of([b"w7", b"and", b"x3"])).tolist() == [6, 60, 0]
+        rows = spark.createDataFrame([(bytearray(np.array([5, 100 + i], dtype=np.uint64).tobytes()),) for i in range(60)], "prefix binary").coalesce(1)
+        hot, blocks = join.hot_keys(rows)
+        assert (hot.tolist(), blocks.tolist()) == ([5], [4])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_join_gives_its_tasks_few_rows_at_a_time(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(join, "materialize", lambda df, what, **kw: seen.setdefault(what, []).append(kw.get("tidy", False)) or common.materialize(df, what, **kw))
+    join.jaccard_components(frame(spark, [(i, f"a b c d e f g h x{i // 2}") for i in range(30)]))
+    for what in ("frequent", "members", "keys", "meetings", "candidates", "links"):
+        assert seen[what] == [True], what
+
+
 def test_bounds_never_drop_a_link():
     rng = np.random.default_rng(3)
     for _ in range(300):
