@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firnlake.llm.common import materialize, read_table
+from firnlake.llm.common import materialize, read_table, shrink
 from firnlake.llm.decontam import decontaminate
 from firnlake.llm.kn_quality import keep_good
 from firnlake.llm.mixing import repeat_documents
@@ -18,10 +18,12 @@ from firnlake.llm.simple8b import token_ids
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    shrink(spark)
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    shrink(spark)
     return one_of_each(docs, k=5, percent=80)
 
 
@@ -36,6 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    shrink(spark)
     return token_ids(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -92,6 +92,12 @@ def release() -> None:
         pass
 
 
+def shrink(spark: SparkSession) -> None:
+    """Have every executor's JVM collect its garbage and give back the heap that earlier steps made it grow by, before steps whose Python workers need the room."""
+    tasks = spark.sparkContext.defaultParallelism  # all cores at once, hence all executors
+    spark.range(0, tasks, 1, tasks).select(F.expr("java_method('java.lang.System', 'gc')").alias("gc")).write.format("noop").mode("overwrite").save()
+
+
 def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
     """docs with every column but the used ones renamed out of the way, and the names to give back by restored()."""
     names = {c: c if c in used else f"_own_{i}" for i, c in enumerate(docs.columns)}

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 
+from firnlake.llm import common
 from firnlake.llm.common import read_table
 
 
@@ -38,6 +39,23 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, tmp_path):
         before = after
 
 
+def test_stages_with_much_python_begin_with_collected_heaps(spark, monkeypatch):
+    def collected():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    before = collected()
+    common.shrink(spark)
+    assert collected() > before
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "shrink", seen.append)
+    for name in ("keep_good", "one_of_each", "token_ids"):
+        monkeypatch.setattr(corpus_pipeline, name, lambda *a, name=name, **kw: seen.append(name))
+    for _, stage in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[4:]:
+        stage(spark, spark.range(1), "/root/testdata/sf0.001")
+    assert seen == [spark, "keep_good", spark, "one_of_each", spark, "token_ids"]
+
+
 def test_run_is_the_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
